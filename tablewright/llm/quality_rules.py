@@ -4,33 +4,41 @@ A document passes when its fixed limits hold and, if it is long enough to be jud
 character classes nor its histogram of common words is further from the language's than a limit. Distances are
 Jensen-Shannon distances, the square root of the divergence in bits: 0 for the same histogram, 1 for disjoint ones.
 
-The language's histograms come from all documents of that language that pass the fixed limits; they are a few rows,
+The language's histograms are sums over all documents of that language that pass the fixed limits; they are a few rows,
 summed on the map side, so that one source or language with most of the rows doesn't meet in one task. Everything about
-one text is computed within its row, so the texts are never shuffled.
+one text is computed within its row, so the texts are read once and never shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, space_words, staged, text_or_empty
-
-#: Each class is what its pattern takes away from what earlier patterns left.
-CLASSES = (("lower", r"\p{Ll}+"), ("space", SPACES), ("upper", r"\p{Lu}+"), ("digit", r"\p{Nd}+"), ("symbol", r"[#*$%&|<>]+"), ("punct", r"\p{P}+"))
-SYMBOL = [name for name, _ in CLASSES].index("symbol")
-SPACE = [name for name, _ in CLASSES].index("space")
+from .common import let, space_words, staged, text_or_empty
+
+# Frequent words of each language tag, in the order of the histogram's bins.
+COMMON_WORDS = {
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden",
+    "en": "the of and to in a is that for it as was with be by on not this are or from at which have",
+    "es": "de la que el en y a los se del las un por con no una su para es al lo como más o",
+    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce",
+}
+#: Lower case and white space together, then what each pattern takes away from what earlier ones left.
+FLOWING = r"[\p{Ll}\x20\x09-\x0D]+"
+OTHERS = (("upper", r"\p{Lu}+"), ("digit", r"\p{Nd}+"), ("symbol", r"[#*$%&|<>]+"), ("punct", r"\p{P}+"))
+CLASSES = ("space", "lower", *(name for name, _ in OTHERS), "other")
 WINDOW = 5
 
 
-def with_classes(df: DataFrame, text: str = "__text") -> DataFrame:
-    """Adds __classes: the number of code points of each class, then of the rest."""
-    df = df.withColumn("__left0", F.col(text))
-    for k, (_, pattern) in enumerate(CLASSES):
+def with_classes(df: DataFrame) -> DataFrame:
+    """Adds __classes: the number of code points of __text in each of CLASSES. White space is what the words leave."""
+    df = df.withColumn("__left0", F.regexp_replace("__text", FLOWING, ""))
+    for k, (_, pattern) in enumerate(OTHERS):
         df = df.withColumn(f"__left{k + 1}", F.regexp_replace(f"__left{k}", pattern, ""))
-    lengths = [F.length(f"__left{k}") for k in range(len(CLASSES) + 1)]
-    counts = [a - b for a, b in zip(lengths, lengths[1:])] + [lengths[-1]]
-    return df.withColumn("__classes", F.array(*[c.cast("long") for c in counts])).drop(*[f"__left{k}" for k in range(len(CLASSES) + 1)])
+    df = df.withColumn("__space", F.length("__text") - F.length(F.array_join("__words", "")))
+    left = [F.length(f"__left{k}") for k in range(len(OTHERS) + 1)]
+    counts = [F.col("__space"), F.length("__text") - F.col("__space") - left[0], *[a - b for a, b in zip(left, left[1:])], left[-1]]
+    return df.withColumn("__classes", F.array(*[c.cast("long") for c in counts])).drop("__space", *[f"__left{k}" for k in range(len(OTHERS) + 1)])
 
 
 def repeated_words(words: Column) -> Column:
@@ -69,8 +77,8 @@ def text_counts(documents: DataFrame, keep: list[str]) -> DataFrame:
         "__words",
         "__classes",
         F.size("__words").cast("long").alias("n_words"),
-        (F.length("__text") - F.col("__classes")[SPACE]).cast("long").alias("word_chars"),
-        F.col("__classes")[SYMBOL].alias("n_symbols"),
+        (F.length("__text") - F.col("__classes")[CLASSES.index("space")]).cast("long").alias("word_chars"),
+        F.col("__classes")[CLASSES.index("symbol")].alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("__words")).alias("n_repeat_words"),
     )
@@ -80,25 +88,24 @@ def base_failed(min_words: int = 10, max_repeat_percent: int = 20) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
 
 
-def language_references(counted: DataFrame, n_common: int) -> DataFrame:
-    """For each language __lang: common (its n_common most frequent words, ties by word), word_counts (theirs, then of all other words), class_counts."""
-    # No filter here: it would be pushed below the counts and compute them twice.
-    good = counted.select(F.when(~base_failed(), F.col("__lang")).alias("__lang"), F.when(~base_failed() & F.col("__lang").isNotNull(), F.col("__words")).alias("__words"), "n_words", "__classes")
-    words = good.select("__lang", F.explode("__words").alias("word")).groupBy("__lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("__lang").orderBy(F.desc("n"), "word"))
-    top = (
-        words.withColumn("k", rank)
-        .where(F.col("k") <= n_common)
-        .groupBy("__lang")
-        .agg(F.sort_array(F.collect_list(F.struct("k", "word", "n"))).alias("top"))
-    )
-    sums = good.groupBy("__lang").agg(
-        F.sum("n_words").alias("all_words"),
-        F.array(*[F.sum(F.col("__classes")[k]) for k in range(len(CLASSES) + 1)]).alias("class_counts"),
+def common_counts(words: Column, lang: Column) -> Column:
+    """How often each common word of the language is among words, then how many other words; null without a list for it."""
+    lists = F.create_map(*[F.lit(x) for tag, listed in COMMON_WORDS.items() for x in (tag, listed.replace(" ", ","))])
+    sizes = F.create_map(*[F.lit(x) for tag, listed in COMMON_WORDS.items() for x in (tag, len(listed.split()))])
+    # find_in_set gives 0 for a word that isn't listed, as for any with a comma.
+    hits = let(lists[lang], lambda own: F.array_remove(F.transform(words, lambda w: F.find_in_set(w, own)), 0))
+    counts = let(hits, lambda h: F.concat(F.transform(F.sequence(F.lit(1), sizes[lang]), lambda k: F.size(h) - F.size(F.array_remove(h, k))), F.array(F.size(words) - F.size(h))))
+    return F.when(lang.isin(*COMMON_WORDS), counts)
+
+
+def language_references(counted: DataFrame) -> DataFrame:
+    """For each language __lang the sums of __word_counts (word_counts) and of __classes (class_counts)."""
+    bins = max(len(x.split()) for x in COMMON_WORDS.values()) + 1
+    sums = counted.where(~base_failed() & F.col("__lang").isNotNull()).groupBy("__lang").agg(
+        F.array(*[F.sum(F.coalesce(F.get("__word_counts", F.lit(k)), F.lit(0))) for k in range(bins)]).alias("word_counts"),
+        F.array(*[F.sum(F.col("__classes")[k]) for k in range(len(CLASSES))]).alias("class_counts"),
     )
-    counts = F.transform("top", lambda x: x["n"])
-    rest = F.col("all_words") - F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
-    return sums.where("__lang IS NOT NULL").join(top, "__lang").select("__lang", F.transform("top", lambda x: x["word"]).alias("common"), F.concat(counts, F.array(rest)).alias("word_counts"), "class_counts")
+    return sums
 
 
 def distance(p: str, q: str) -> Column:
@@ -111,28 +118,26 @@ def distance(p: str, q: str) -> Column:
     return F.expr(f"CASE WHEN {sums} THEN sqrt(greatest(0D, aggregate(transform({shares}, a -> {term}), 0D, (s, x) -> s + x))) END")
 
 
-def quality_rules(documents: DataFrame, n_common: int = 24, min_words: int = 60, min_chars: int = 200, max_word_distance: float = 0.45, max_class_distance: float = 0.28, references: DataFrame | None = None) -> DataFrame:
+def quality_rules(documents: DataFrame, min_words: int = 60, min_chars: int = 200, max_word_distance: float = 0.45, max_class_distance: float = 0.28, references: DataFrame | None = None) -> DataFrame:
     """For each row of documents (doc_id, text, lang): its counts, base_failed, the two distances and kept.
 
-    A null or empty text has no words and fails. Texts of under min_words words have no word_distance, those of under
-    min_chars code points no class_distance, and without a language, or one of which no text passes the fixed limits,
-    there is neither: a distance that is missing rejects nothing. Repeated rows give repeated results. Other columns of
-    documents are ignored. references: as language_references() makes them, in place of the corpus's own.
+    A null or empty text has no words and fails. Texts of under min_words words, or of a language without a list of
+    common words, have no word_distance; those of under min_chars code points, or of a null language, no class_distance.
+    Neither exists in a language of which no text passes the fixed limits. A distance that is missing rejects nothing.
+    Repeated rows give repeated results. Other columns are ignored. references: as language_references() makes them, in
+    place of the corpus's own.
     """
-    counted = text_counts(documents.select("doc_id", "text", F.col("lang").alias("__lang")), ["doc_id", "__lang"])
-    if references is None:
-        references = staged(language_references(counted, n_common))
-    # One row for each language tag; joined by broadcast only while Spark's own size limit allows it.
-    joined = counted.join(references, "__lang", "left")
-    joined = joined.withColumn("__longest", F.expr("aggregate(common, 0, (a, x) -> greatest(a, length(x)))"))
-    joined = joined.withColumn("__hits", F.expr(f"CASE WHEN n_words >= {min_words} THEN array_remove(transform(filter(__words, w -> length(w) <= __longest), w -> array_position(common, w)), 0L) END"))
-    counts = "transform(sequence(1, size(common)), k -> size(__hits) - size(array_remove(__hits, bigint(k))))"
-    joined = joined.withColumn("__word_counts", F.expr(f"CASE WHEN __hits IS NOT NULL THEN concat({counts}, array(int(n_words) - size(__hits))) END"))
+    df = text_counts(documents.select("doc_id", "text", F.col("lang").alias("__lang")), ["doc_id", "__lang"])
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    # Written once: the languages' sums and the verdicts both need the counts, and the texts no more.
+    df = staged(df.select("doc_id", "__lang", *counts, "__classes", common_counts(F.col("__words"), F.col("__lang")).alias("__word_counts")))
+    references = language_references(df) if references is None else references
+    # A row for each language tag; Spark broadcasts them only within its own size limit.
+    joined = df.join(references, "__lang", "left")
     far = F.coalesce(F.col("word_distance") > max_word_distance, F.lit(False)) | F.coalesce(F.col("class_distance") > max_class_distance, F.lit(False))
     out = joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed().alias("base_failed"),
-        distance("__word_counts", "word_counts").alias("word_distance"),
-        F.when(F.length("__text") >= min_chars, distance("__classes", "class_counts")).alias("class_distance"),
+        "doc_id", *counts, base_failed().alias("base_failed"),
+        F.when(F.col("n_words") >= min_words, distance("__word_counts", "word_counts")).alias("word_distance"),
+        F.when(F.aggregate("__classes", F.lit(0).cast("long"), lambda a, x: a + x) >= min_chars, distance("__classes", "class_counts")).alias("class_distance"),
     )
     return out.withColumn("kept", ~F.col("base_failed") & ~far)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from .quality_rules import CLASSES
+from .quality_rules import COMMON_WORDS, FLOWING, OTHERS
 from .secret_scan import KINDS
 from .source_mixing import ROUNDS
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 
-def quality_rules_sql(n_common: int = 24, min_words: int = 60, min_chars: int = 200, max_word: float = 0.45, max_class: float = 0.28) -> str:
-    left = "\n".join(f", l{k + 1} AS (SELECT *, regexp_replace(left{k}, '{pattern}', '', 'g') AS left{k + 1} FROM l{k})" for k, (_, pattern) in enumerate(CLASSES))
-    last = len(CLASSES)
-    counts = ", ".join([f"length(left{k}) - length(left{k + 1})" for k in range(last)] + [f"length(left{last})"])
+def quality_rules_sql(min_words: int = 60, min_chars: int = 200, max_word: float = 0.45, max_class: float = 0.28) -> str:
+    left = "\n".join(f", l{k + 1} AS (SELECT *, regexp_replace(left{k}, '{pattern}', '', 'g') AS left{k + 1} FROM l{k})" for k, (_, pattern) in enumerate(OTHERS))
+    last = len(OTHERS)
+    space = "(length(txt) - length(array_to_string(words, '')))"
+    counts = ", ".join([space, f"length(txt) - {space} - length(left0)"] + [f"length(left{k}) - length(left{k + 1})" for k in range(last)] + [f"length(left{last})"])
+    n_bins = max(len(x.split()) for x in COMMON_WORDS.values()) + 1
+    lists = ", ".join(f"('{tag}', string_split('{listed}', ' '))" for tag, listed in COMMON_WORDS.items())
 
     def js(p: str, q: str) -> str:
         a, b = f"({p}[k] / list_sum({p}))", f"({q}[k] / list_sum({q}))"
@@ -20,37 +23,31 @@ def quality_rules_sql(n_common: int = 24, min_words: int = 60, min_chars: int =
         return f"CASE WHEN list_sum({p}) > 0 AND list_sum({q}) > 0 THEN sqrt(greatest(0, list_sum(list_transform(range(1, len({p}) + 1), lambda k: 0.5 * ({part(a, b)} + {part(b, a)}))))) END"
 
     return f"""
-WITH l0 AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS left0, {WORDS} AS words FROM documents)
+WITH l0 AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS txt, regexp_replace(coalesce(text, ''), '{FLOWING}', '', 'g') AS left0, {WORDS} AS words FROM documents)
 {left}
+, common AS (SELECT * FROM (VALUES {lists}) t(lang, common))
 , d AS (
-  SELECT rid, doc_id, lang, left0, words, len(words) AS n_words, [{counts}] AS classes,
-    list_filter(string_split(left0, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM l{last})
+  SELECT rid, doc_id, lang, txt, words, len(words) AS n_words, [{counts}] AS classes,
+    list_filter(string_split(txt, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM l{last})
 , win AS (SELECT rid, i, array_to_string(words[i:i + 4], ' ') AS w FROM (SELECT rid, words, unnest(range(1, n_words - 3)) AS i FROM d WHERE n_words >= 5))
 , twice AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, w) > 1)
 , rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, range(5) t(k) GROUP BY rid)
-, b AS (SELECT d.*, coalesce(rep.n, 0) AS n_repeat, n_words < 10 OR 100 * coalesce(rep.n, 0) > 20 * n_words AS base_failed FROM d LEFT JOIN rep USING (rid))
-, good AS (SELECT * FROM b WHERE NOT base_failed AND lang IS NOT NULL)
-, top AS (
-  SELECT lang, list(w ORDER BY n DESC, w) AS common, list(n ORDER BY n DESC, w) AS ns FROM (
-    SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(words) AS w FROM good) GROUP BY lang, w
-    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) <= {n_common}) GROUP BY lang)
+, hits AS (SELECT d.*, common, list_transform(common, lambda c: len(list_filter(words, lambda w: w = c))) AS hit FROM d LEFT JOIN common USING (lang))
+, b AS (
+  SELECT hits.*, coalesce(rep.n, 0) AS n_repeat, n_words < 10 OR 100 * coalesce(rep.n, 0) > 20 * n_words AS base_failed,
+    CASE WHEN common IS NOT NULL THEN list_append(hit, n_words - list_sum(hit)) END AS word_own FROM hits LEFT JOIN rep USING (rid))
 , ref AS (
-  SELECT lang, common, list_append(ns, all_words - list_sum(ns)) AS word_ref, class_ref FROM top JOIN (
-    SELECT lang, sum(n_words) AS all_words, [{', '.join(f'sum(classes[{k + 1}])' for k in range(last + 1))}] AS class_ref FROM good GROUP BY lang) USING (lang))
-, hits AS (SELECT b.*, common, word_ref, class_ref, list_transform(common, lambda c: len(list_filter(words, lambda w: w = c))) AS hit FROM b LEFT JOIN ref USING (lang))
-, far AS (
-  SELECT *, CASE WHEN n_words >= {min_words} THEN list_append(hit, n_words - list_sum(hit)) END AS word_own FROM hits)
+  SELECT lang, [{', '.join(f'sum(coalesce(word_own[{k + 1}], 0))' for k in range(n_bins))}] AS word_ref, [{', '.join(f'sum(classes[{k + 1}])' for k in range(last + 3))}] AS class_ref
+  FROM b WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang)
 , dist AS (
-  SELECT *, {js('word_own', 'word_ref')} AS word_distance, CASE WHEN length(left0) >= {min_chars} THEN {js('classes', 'class_ref')} END AS class_distance FROM far)
-SELECT doc_id, n_words::BIGINT AS n_words, (length(left0) - classes[2])::BIGINT AS word_chars, classes[5]::BIGINT AS n_symbols,
+  SELECT *, CASE WHEN n_words >= {min_words} THEN {js('word_own', 'word_ref')} END AS word_distance, CASE WHEN length(txt) >= {min_chars} THEN {js('classes', 'class_ref')} END AS class_distance FROM b LEFT JOIN ref USING (lang))
+SELECT doc_id, n_words::BIGINT AS n_words, (length(txt) - classes[1])::BIGINT AS word_chars, classes[5]::BIGINT AS n_symbols,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat::BIGINT AS n_repeat_words, base_failed,
   round(word_distance, 6) AS word_distance, round(class_distance, 6) AS class_distance,
   NOT base_failed AND NOT coalesce(word_distance > {max_word}, false) AND NOT coalesce(class_distance > {max_class}, false) AS kept
 FROM dist"""
 
 
-
-
 def url_filters_sql() -> str:
     return r"""
 WITH p AS (
