@@ -9,17 +9,37 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import table
+from .decontamination import decontamination
+from .license_scan import license_scan
+from .line_dedup import line_dedup
+from .ngram_jaccard import ngram_jaccard
+from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
 from .secret_scan import secret_scan
 from .source_mixing import source_mixing
+from .token_counts import token_counts
 from .url_filters import host_of, url_filters
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents"))
     return out.withColumns({c: F.round(c, 6) for c in ("word_distance", "class_distance")})
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pages has neither dates nor a list, so both are derived from its own values: a day of 2024 from each page's id, and
     four dated entries, in turn block and allow, for a quarter of the hosts, besides three entries of whole domains."""
@@ -38,6 +58,20 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing(table(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 6))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard(table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # of the vocabulary files; other tokenizer files need no such package
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
@@ -45,8 +79,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_line_dedup": op2_line_dedup,
+        "op3_quality_classifier": op3_quality_classifier,
+        "op4_decontamination": op4_decontamination,
         "op5_url_filters": op5_url_filters,
         "op6_source_mixing": op6_source_mixing,
+        "op7_ngram_jaccard": op7_ngram_jaccard,
+        "op8_token_counts": op8_token_counts,
+        "op9_license_scan": op9_license_scan,
         "op10_secret_scan": op10_secret_scan,
     }
 
@@ -54,7 +94,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": sql.quality_rules_sql(),
+        "op2_line_dedup": sql.line_dedup_sql(),
+        "op4_decontamination": sql.decontamination_sql(),
         "op5_url_filters": sql.url_filters_sql(),
         "op6_source_mixing": sql.source_mixing_sql(),
+        "op7_ngram_jaccard": sql.ngram_jaccard_sql(),
         "op10_secret_scan": sql.secret_scan_sql(),
     }

@@ -117,3 +117,62 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, ''
 SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example
 FROM d LEFT JOIN agg USING (rid)"""
+
+
+def line_dedup_sql(min_chars: int = 12) -> str:
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents)
+, l AS (
+  SELECT rid, doc_id, k - 1 AS line_no, lower(trim(regexp_replace(ls[k], '[\x20\x09-\x0D]{{2,}}|[\x09-\x0D]', ' ', 'g'), ' ')) AS plain
+  FROM (SELECT rid, doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM docs WHERE doc_id IS NOT NULL AND text IS NOT NULL))
+, f AS MATERIALIZED (SELECT plain, length(plain) AS n, min((doc_id, line_no)) AS first FROM l WHERE plain <> '' GROUP BY plain)
+, long AS MATERIALIZED (SELECT *, plain[:n // 2] AS h0, plain[:(n - 1) // 2] AS h1, plain[n // 2 + 1:] AS t0, plain[(n - 1) // 2 + 2:] AS t1 FROM f WHERE n >= {min_chars})
+, cand AS (
+  SELECT x.plain, y.plain AS against FROM long x JOIN long y ON x.h0 = y.h0 WHERE x.n = y.n AND x.first > y.first
+  UNION ALL SELECT x.plain, y.plain FROM long x JOIN long y ON x.t0 = y.t0 WHERE x.n = y.n AND x.first > y.first
+  UNION ALL SELECT CASE WHEN x.first > y.first THEN x.plain ELSE y.plain END, CASE WHEN x.first > y.first THEN y.plain ELSE x.plain END FROM long x JOIN long y ON x.n = y.n + 1 AND x.h1 = y.h0
+  UNION ALL SELECT CASE WHEN x.first > y.first THEN x.plain ELSE y.plain END, CASE WHEN x.first > y.first THEN y.plain ELSE x.plain END FROM long x JOIN long y ON x.n = y.n + 1 AND x.t1 = y.t0)
+, near AS (SELECT DISTINCT plain FROM cand WHERE levenshtein(plain, against) <= 1)
+, gone AS (
+  SELECT l.rid, line_no, (l.doc_id, line_no) > first AS again FROM l JOIN f USING (plain) LEFT JOIN near USING (plain)
+  WHERE (l.doc_id, line_no) > first OR near.plain IS NOT NULL)
+, g AS (SELECT rid, list(line_no) AS nos, count(*) FILTER (again) AS n_exact, count(*) FILTER (NOT again) AS n_near FROM gone GROUP BY rid)
+, k AS (
+  SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(n_exact, 0)::BIGINT AS n_exact, coalesce(n_near, 0)::BIGINT AS n_near,
+    coalesce(array_to_string(list_filter(ls, lambda x, i: NOT list_contains(coalesce(nos, []), i - 1)), chr(10)), '') AS kept FROM docs LEFT JOIN g USING (rid))
+SELECT doc_id, n_lines, n_exact, n_near, length(kept)::BIGINT AS n_chars_kept, sha256(kept) AS kept_sha256 FROM k"""
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def decontamination_sql(window: int = 10) -> str:
+    words = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents)
+, items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {words} AS w FROM benchmark)
+, win AS (
+  SELECT DISTINCT item, array_to_string(w[i:i + {window - 1}], ' ') AS s, least(len(w), {window}) AS size
+  FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - {window - 1}) + 1)) AS i FROM items WHERE len(w) > 0))
+, sizes AS (SELECT DISTINCT size FROM win)
+, runs AS (SELECT rid, size, i, array_to_string(w[i:i + size - 1], ' ') AS s FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size))
+, hits AS (SELECT rid, r.i, r.size, item FROM runs r JOIN win USING (s, size))
+, places AS (SELECT rid, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT rid, i, size FROM hits)) GROUP BY rid)
+, ids AS (SELECT rid, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (rid) LEFT JOIN ids USING (rid)"""
+
+
+def ngram_jaccard_sql(words: int = 4, percent: int = 85) -> str:
+    split = rf"list_filter(regexp_split_to_array({LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, {split} AS w FROM documents)
+, s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {words - 1}], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - {words - 1}) + 1)) AS i FROM d WHERE len(w) > 0))
+, n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
+, pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL)
+, links AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= {percent} * (nx.n + ny.n - c))
+, e AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links)
+, reach AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.y, reach.root FROM reach JOIN e ON e.x = reach.node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, root AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) ON node = d.doc_id"""
