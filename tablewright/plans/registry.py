@@ -1,15 +1,45 @@
-"""All queries by name, each with its DuckDB twin where SQL can express it."""
+"""All queries by name, each with its DuckDB twin where SQL can express it.
+
+A query is a function of (spark, sf_dir). Modules of this package register theirs with the decorator below.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+Query = Callable[[SparkSession, str], DataFrame]
+MODULES = ("basics", "profiles", "preparation", "arrays", "texts", "models")
+
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    def add(function: Query) -> Query:
+        key = name or function.__name__
+        if key in _QUERIES:
+            raise ValueError(f"two queries named {key}")
+        _QUERIES[key] = function
+        if sql is not None:
+            _SQL[key] = sql
+        return function
+
+    return add
+
+
+def _loaded() -> None:
+    for module in MODULES:
+        import_module(f"{__package__}.{module}")
+
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    _loaded()
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _loaded()
+    return dict(_SQL)
