@@ -7,9 +7,10 @@ turns into it. Whether the earlier line goes itself doesn't matter.
 1. Plain forms are grouped by a 128-bit hash, with the first place of each; a form's later places go.
 2. Of two forms one edit apart, the first or the last half of the shorter is unchanged; only forms that share such a
    half with another are carried on, with their text.
-3. Those emit every variant with one character deleted, as hashed keys with the deleted place. Equal variants with the
-   same place differ by a replaced character; a variant equal to a whole form, by an inserted one. Each key gives the
-   earliest form only, so a group of n forms gives n rows, never its pairs.
+3. The same again in more parts tells in which part of a form the edit can be. Each character of that part is deleted in
+   turn, which gives the variants, as hashed keys with the deleted place. Equal variants with the same place differ by a
+   replaced character, and the earliest form of such a key stands for all others, so a group of n forms gives n rows,
+   never its pairs. A variant that equals a whole form differs from it by an inserted character.
 4. The edit distance of a form and the earliest one found is verified on the forms themselves.
 
 Forms that many lines share are reduced on the map side; joins on hot forms are Spark's to split.
@@ -26,10 +27,15 @@ MIN_CHARS = 12
 LINES_A_DOC = 2**31
 #: Bounds the rows of the broadcast that thins out lines before a join.
 BUCKETS = 2**18
+SEGMENTS = 12
 
 
 def plain(line: Column) -> Column:
-    one_space = F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
+    # Most lines have single spaces only, and a search for a fixed string costs a tenth of a pattern.
+    spaced = F.contains(line, F.lit("  "))
+    for c in "\t\x0b\x0c\r":
+        spaced = spaced | F.contains(line, F.lit(c))
+    one_space = F.when(spaced, F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")).otherwise(line)
     return F.lower(F.trim(one_space))
 
 
@@ -57,33 +63,58 @@ def candidates(lines: DataFrame, forms: DataFrame, documents: DataFrame) -> Data
     """(a, b, first, plain) of the forms that share a half with another one."""
     keys = lines.select("a", F.explode("halves").alias("key"))
     several = keys.groupBy("key").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("key")
-    near = staged(keys.join(several, "key", "left_semi").select("a").distinct())
-    wanted = near.join(forms, "a").select("a", "b", "first")
-    # At most BUCKETS rows, whatever the corpus: keeps most other lines out of the shuffle while candidates are few.
-    buckets = F.broadcast(near.select(F.pmod("a", F.lit(BUCKETS)).alias("bucket")).distinct())
-    some = lines_of(documents).withColumn("bucket", F.pmod("a", F.lit(BUCKETS))).join(buckets, "bucket", "left_semi")
-    return staged(some.join(wanted, ["a", "b"]).where("at = first").select("a", "b", "first", "plain").dropDuplicates(["a", "b"]))
+    near = keys.join(several, "key", "left_semi").select("a").distinct()
+    wanted = staged(near.join(forms, "a").select("a", "b", "first", *place_of(F.col("first"))))
+    # At most BUCKETS rows, whatever the corpus: keeps most documents out of the shuffle while candidates are few.
+    buckets = F.broadcast(wanted.select(F.pmod("id", F.lit(BUCKETS)).alias("bucket")).distinct())
+    some = documents.select(F.col("doc_id").cast("long").alias("id"), "text", F.pmod(F.col("doc_id").cast("long"), F.lit(BUCKETS)).alias("bucket")).join(buckets, "bucket", "left_semi")
+    found = some.join(wanted, "id").select("a", "b", "first", plain(F.get(F.split("text", "\n"), F.col("k"))).alias("plain"))
+    # A doc_id may have other texts too; repeated rows give a form twice.
+    return staged(found.where((F.xxhash64("plain") == F.col("a")) & (F.xxhash64(F.lit(7), F.col("plain")) == F.col("b"))).dropDuplicates(["a", "b"]))
 
 
 def superseded(chosen: DataFrame) -> DataFrame:
-    """(a, b) of the forms of chosen that are one edit from one that is earlier. A form's first place stands for it."""
-    rest = lambda i: F.concat(F.substring("plain", F.lit(1), i - 1), F.substring("plain", i + 1, F.length("plain")))
-    deleted = F.transform(F.sequence(F.lit(1), F.length("plain")), lambda i: F.xxhash64(rest(i)))
-    variants = chosen.select("first", F.length("plain").alias("n"), F.posexplode(deleted).alias("i", "v"))
-    whole = chosen.select("first", (F.length("plain") + 1).alias("n"), F.xxhash64("plain").alias("v"))
+    """(a, b) of the forms of chosen that are one edit from one that is earlier. A form's first place stands for it.
+
+    As with halves, but in SEGMENTS parts: of two forms one edit apart, all but one part of the shorter is unchanged.
+    Where a form shares all but one part with another, the characters of that part are deleted in turn.
+    """
+    n = F.length("plain")
+    start = lambda m, s: F.floor(s * m / SEGMENTS).cast("int")
+    rest_of = lambda m, s: F.xxhash64(F.lit(2), m, s, F.substring("plain", F.lit(1), start(m, s)), F.substring("plain", n - m + start(m, s + 1) + 1, n))
+    parts = F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda s: F.array(*[F.struct(m.alias("m"), s.alias("s"), rest_of(m, s).alias("key")) for m in (n, n - 1)]))
+    keys = chosen.select("first", F.explode(F.flatten(parts)).alias("p")).select("first", "p.*")
+    several = keys.groupBy("key").agg(F.min("first").alias("x"), F.max("first").alias("y")).where("x <> y").select("key")
+    matched = keys.join(several, "key", "left_semi").select("first", "m", "s").distinct().join(chosen.select("first", "plain"), "first")
+    matched = staged(matched.withColumn("n", n))
+
+    without = lambda i: F.concat(F.substring("plain", F.lit(1), i - 1), F.substring("plain", i + 1, F.col("n")))
+    m, s = F.col("m"), F.col("s")
+    last = start(m, s + 1) + F.col("n") - m
+    places = F.when(last > start(m, s), F.sequence(start(m, s) + 1, last))
+    deleted = F.transform(places, lambda i: F.struct(i.alias("i"), F.xxhash64(without(i)).alias("v")))
+    variants = staged(matched.select("first", "n", "m", F.explode(deleted).alias("d")).select("first", "n", "m", "d.i", "d.v").distinct())
+    whole = matched.where("m = n").select("first", (F.col("n") + 1).alias("n"), F.xxhash64("plain").alias("v")).distinct()
 
     # Replaced: the same variant with the same place; the earliest form of the key stands for it.
-    replaced = variants.groupBy("v", "n", "i").agg(F.min("first").alias("other"), F.max("first").alias("last")).where("other < last").drop("last")
-    by_replaced = variants.join(replaced, ["v", "n", "i"]).where("first > other").select("first", "other")
+    same = variants.where("m = n").select("first", "v", "n", "i")
+    replaced = same.groupBy("v", "n", "i").agg(F.min("first").alias("other"), F.max("first").alias("last")).where("other < last").drop("last")
+    by_replaced = same.join(replaced, ["v", "n", "i"]).where("first > other").select("first", "other")
     # Inserted: a whole form that is the variant of a longer one. n is the longer one's length on both sides.
-    longer = variants.join(whole.select("v", "n", F.col("first").alias("short")), ["v", "n"]).select("first", "short")
+    longer = variants.where("m < n").select("first", "v", "n").join(whole.select("v", "n", F.col("first").alias("short")), ["v", "n"]).select("first", "short")
     pairs = longer.select(F.greatest("first", "short").alias("first"), F.least("first", "short").alias("other"))
-    pairs = by_replaced.union(pairs).distinct()
+    pairs = by_replaced.union(pairs).where("first <> other").distinct()
     texts = chosen.select("first", "a", "b", "plain")
     verified = pairs.join(texts, "first").join(texts.select(F.col("first").alias("other"), F.col("plain").alias("against")), "other")
     return verified.where(F.levenshtein("plain", "against", 1) >= 0).select("a", "b").distinct()
 
 
+def place_of(at: Column) -> tuple[Column, Column]:
+    """id and k: doc_id and line number of a place."""
+    size = F.lit(LINES_A_DOC).cast("decimal(38,0)")
+    return F.floor((at - F.pmod(at, size)) / size).cast("long").alias("id"), F.pmod(at, size).cast("int").alias("k")
+
+
 def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(__id, __exact, __near): of each doc_id with lines to drop, the numbers of those equal and near to an earlier one."""
     halves = F.when(F.length("plain") >= min_chars, halves_of(F.col("plain")))
@@ -93,9 +124,8 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame
     # Only forms that have something to drop meet the lines again.
     marked = forms.join(near, ["a", "b"], "left").where("near OR first < last").select("a", "b", "first", F.coalesce("near", F.lit(False)).alias("near"))
     hit = lines.select("at", "a", "b").join(marked, ["a", "b"]).where("near OR at > first")
-    size = F.lit(LINES_A_DOC).cast("decimal(38,0)")
-    number = F.pmod("at", size).cast("int")
-    return hit.select(F.floor((F.col("at") - F.pmod("at", size)) / size).cast("long").alias("__id"), number.alias("k"), (F.col("at") > F.col("first")).alias("again")).groupBy("__id").agg(
+    again = (F.col("at") > F.col("first")).alias("again")
+    return hit.select(*place_of(F.col("at")), again).groupBy(F.col("id").alias("__id")).agg(
         F.array_sort(F.collect_set(F.when(F.col("again"), F.col("k")))).alias("__exact"),
         F.array_sort(F.collect_set(F.when(~F.col("again"), F.col("k")))).alias("__near"),
     )
@@ -135,5 +165,6 @@ def deduplicated(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """documents with their remaining lines as text, and without those of which no word remains though they had some."""
     wordy = lambda c: F.coalesce(F.rlike(F.col(c), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
     df = with_kept_text(documents.withColumn("text", F.col("text").cast("string")), min_chars)
-    df = df.where(wordy("__kept") | ~wordy("text"))
+    # The row number keeps the filter above the texts, which it would otherwise put together twice.
+    df = df.withColumn("__row", F.monotonically_increasing_id()).where((F.col("__row") >= 0) & (wordy("__kept") | ~wordy("text")))
     return df.withColumn("text", F.col("__kept")).select(*documents.columns)
