@@ -1 +1 @@
-""""""
+"""Operators on whole tables."""

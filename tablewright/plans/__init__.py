@@ -1 +1 @@
-""""""
+"""Queries over the tables, with their DuckDB twins."""

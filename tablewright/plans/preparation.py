@@ -42,11 +42,11 @@ def mode_impute(spark, d):
     return prep.impute(holed_customer(spark, d).select("c_custkey", "c_mktsegment", "c_nationkey"), {"c_mktsegment": "mode", "c_nationkey": "mode"})
 
 
-@query(f"WITH h AS ({HOLED}), m AS (SELECT avg(c_acctbal) AS m FROM h WHERE c_custkey % 4 <> 0) SELECT c_custkey, round(coalesce(c_acctbal, m), 4) AS c_acctbal FROM h, m WHERE c_custkey % 4 = 0")
+@query(f"WITH h AS ({HOLED}), m AS (SELECT avg(c_acctbal) AS m FROM h WHERE c_custkey % 4 <> 0) SELECT c_custkey, round(coalesce(c_acctbal, m), 4) AS c_acctbal FROM h, m")
 def impute_fit_on_train(spark, d):
-    """A mean fitted on one part fills the other."""
+    """A mean fitted on the training rows fills all."""
     h = holed_customer(spark, d).select("c_custkey", "c_acctbal")
-    return rounded(prep.impute(h.where("c_custkey % 4 = 0"), {"c_acctbal": "mean"}, fit_on=h.where("c_custkey % 4 <> 0")), 4, "c_acctbal")
+    return rounded(prep.impute(h, {"c_acctbal": "mean"}, fit_on=h.where("c_custkey % 4 <> 0")), 4, "c_acctbal")
 
 
 @query(f"WITH h AS ({HOLED}) SELECT c_custkey, round(coalesce(c_acctbal, (SELECT quantile_cont(c_acctbal, 0.5) FROM h)), 4) AS c_acctbal FROM h")
@@ -147,11 +147,11 @@ def standard_scale_acctbal(spark, d):
     return rounded(prep.scale(df, ["c_acctbal"], prep.scale_fit(df, ["c_acctbal"])), 6, "c_acctbal")
 
 
-@query("WITH f AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS s FROM customer WHERE c_custkey % 4 <> 0) SELECT c_custkey, round((c_acctbal - m) / s, 6) AS c_acctbal FROM customer, f WHERE c_custkey % 4 = 0")
+@query("WITH f AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS s FROM customer WHERE c_custkey % 4 <> 0) SELECT c_custkey, round((c_acctbal - m) / s, 6) AS c_acctbal FROM customer, f")
 def scale_fit_on_train(spark, d):
-    """A scaler fitted on one part scales the other."""
+    """A scaler fitted on the training rows scales all."""
     df = read_table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    return rounded(prep.scale(df.where("c_custkey % 4 = 0"), ["c_acctbal"], prep.scale_fit(df.where("c_custkey % 4 <> 0"), ["c_acctbal"])), 6, "c_acctbal")
+    return rounded(prep.scale(df, ["c_acctbal"], prep.scale_fit(df.where("c_custkey % 4 <> 0"), ["c_acctbal"])), 6, "c_acctbal")
 
 
 @query("SELECT c_custkey, round((c_acctbal - min(c_acctbal) OVER ()) / (max(c_acctbal) OVER () - min(c_acctbal) OVER ()), 6) AS c_acctbal FROM customer")

@@ -1 +1,5 @@
-""""""
+"""Streams: the surveyed operators have none, so this package has no operators of its own.
+
+Operators that work row by row (functions.scalars, functions.arrays, prep.recode, prep.scale with a fitted row) take a
+streaming DataFrame as they are.
+"""
