@@ -28,10 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staged(df: DataFrame) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: cuts the lineage, and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Temporary().staged(df)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -46,3 +43,23 @@ def text_or_empty(column: str | Column = "text") -> Column:
 def space_words(text: Column) -> Column:
     """The words between runs of white space, as an array without empty strings."""
     return F.array_remove(F.split(text, SPACES), "")
+
+
+class Temporary:
+    """Staged tables that are deleted together once what was made of them is staged itself."""
+
+    def __init__(self):
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def staged(self, df: DataFrame) -> DataFrame:
+        spark = df.sparkSession
+        path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+        self.paths.append((spark, path))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        for spark, path in self.paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths.clear()

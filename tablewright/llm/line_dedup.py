@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import Temporary, staged
 
 MIN_CHARS = 12
 LINES_A_DOC = 2**31
@@ -59,21 +59,21 @@ def halves_of(text: Column) -> Column:
     return F.array_distinct(F.array(head(half(n)), head(half(n - 1)), tail(n - half(n)), tail(n - 1 - half(n - 1))))
 
 
-def candidates(lines: DataFrame, forms: DataFrame, documents: DataFrame) -> DataFrame:
+def candidates(lines: DataFrame, forms: DataFrame, documents: DataFrame, temporary: Temporary) -> DataFrame:
     """(a, b, first, plain) of the forms that share a half with another one."""
     keys = lines.select("a", F.explode("halves").alias("key"))
     several = keys.groupBy("key").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("key")
     near = keys.join(several, "key", "left_semi").select("a").distinct()
-    wanted = staged(near.join(forms, "a").select("a", "b", "first", *place_of(F.col("first"))))
+    wanted = temporary.staged(near.join(forms, "a").select("a", "b", "first", *place_of(F.col("first"))))
     # At most BUCKETS rows, whatever the corpus: keeps most documents out of the shuffle while candidates are few.
     buckets = F.broadcast(wanted.select(F.pmod("id", F.lit(BUCKETS)).alias("bucket")).distinct())
     some = documents.select(F.col("doc_id").cast("long").alias("id"), "text", F.pmod(F.col("doc_id").cast("long"), F.lit(BUCKETS)).alias("bucket")).join(buckets, "bucket", "left_semi")
     found = some.join(wanted, "id").select("a", "b", "first", plain(F.get(F.split("text", "\n"), F.col("k"))).alias("plain"))
     # A doc_id may have other texts too; repeated rows give a form twice.
-    return staged(found.where((F.xxhash64("plain") == F.col("a")) & (F.xxhash64(F.lit(7), F.col("plain")) == F.col("b"))).dropDuplicates(["a", "b"]))
+    return temporary.staged(found.where((F.xxhash64("plain") == F.col("a")) & (F.xxhash64(F.lit(7), F.col("plain")) == F.col("b"))).dropDuplicates(["a", "b"]))
 
 
-def superseded(chosen: DataFrame) -> DataFrame:
+def superseded(chosen: DataFrame, temporary: Temporary) -> DataFrame:
     """(a, b) of the forms of chosen that are one edit from one that is earlier. A form's first place stands for it.
 
     As with halves, but in SEGMENTS parts: of two forms one edit apart, all but one part of the shorter is unchanged.
@@ -86,14 +86,14 @@ def superseded(chosen: DataFrame) -> DataFrame:
     keys = chosen.select("first", F.explode(F.flatten(parts)).alias("p")).select("first", "p.*")
     several = keys.groupBy("key").agg(F.min("first").alias("x"), F.max("first").alias("y")).where("x <> y").select("key")
     matched = keys.join(several, "key", "left_semi").select("first", "m", "s").distinct().join(chosen.select("first", "plain"), "first")
-    matched = staged(matched.withColumn("n", n))
+    matched = temporary.staged(matched.withColumn("n", n))
 
     without = lambda i: F.concat(F.substring("plain", F.lit(1), i - 1), F.substring("plain", i + 1, F.col("n")))
     m, s = F.col("m"), F.col("s")
     last = start(m, s + 1) + F.col("n") - m
     places = F.when(last > start(m, s), F.sequence(start(m, s) + 1, last))
     deleted = F.transform(places, lambda i: F.struct(i.alias("i"), F.xxhash64(without(i)).alias("v")))
-    variants = staged(matched.select("first", "n", "m", F.explode(deleted).alias("d")).select("first", "n", "m", "d.i", "d.v").distinct())
+    variants = temporary.staged(matched.select("first", "n", "m", F.explode(deleted).alias("d")).select("first", "n", "m", "d.i", "d.v").distinct())
     whole = matched.where("m = n").select("first", (F.col("n") + 1).alias("n"), F.xxhash64("plain").alias("v")).distinct()
 
     # Replaced: the same variant with the same place; the earliest form of the key stands for it.
@@ -120,7 +120,9 @@ def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame
     halves = F.when(F.length("plain") >= min_chars, halves_of(F.col("plain")))
     lines = staged(lines_of(documents).select("at", "a", "b", halves.alias("halves")))
     forms = staged(lines.groupBy("a", "b").agg(F.min("at").alias("first"), F.max("at").alias("last")))
-    near = superseded(candidates(lines, forms, documents)).withColumn("near", F.lit(True))
+    temporary = Temporary()
+    near = staged(superseded(candidates(lines, forms, documents, temporary), temporary)).withColumn("near", F.lit(True))
+    temporary.release()
     # Only forms that have something to drop meet the lines again.
     marked = forms.join(near, ["a", "b"], "left").where("near OR first < last").select("a", "b", "first", F.coalesce("near", F.lit(False)).alias("near"))
     hit = lines.select("at", "a", "b").join(marked, ["a", "b"]).where("near OR at > first")

@@ -1,19 +1,22 @@
 """N-gram Jaccard join by a token-group matrix: documents linked by alike sets of word shingles, as components.
 
 1. A document's set is its distinct shingles as 64-bit hashes. Documents of equal sets are one class.
-2. Shingles are ordered, those found often last; a link needs a shingle in common among the first of either set, so
-   only those (the prefix) are shuffled, and of them only the ones that several classes hold are kept.
-3. Classes with the same first kept shingle are similar; they are partitioned into groups of at most GROUP_DOCS classes
-   and about GROUP_SHINGLES shingles. The matrix holds which groups' prefixes have which shingle; two groups are
+2. A set with a link can't hold more than a few shingles that no other class holds. A quarter of all shingles, the same
+   for every set, is counted to rule out most sets, then all shingles of the rest.
+3. Shingles are ordered, those found often last; a link needs a shingle in common among the first of either set, so only
+   those (the prefix) are shuffled, and of them only the ones that several classes hold are kept. Classes that hold the
+   same often-held shingle are similar; they are partitioned into groups of at most GROUP_DOCS classes and about
+   GROUP_SHINGLES shingles; groups that candidate pairs connect are then put together in larger blocks. The matrix holds which groups' prefixes have which shingle; two groups are
    candidates if they have one in common and their sizes are near enough.
 4. For a pair of groups the union of each group's shingles bounds what a member of the other can have in common with any
-   of its members. Only where the bound allows a link is the group opened and every pair of remaining members counted,
-   by a matrix product. A pair of groups gives the edges of a spanning forest, never all of its pairs.
+   of its members: first by prefixes alone, then, with what is left, by whole sets. Only where the bound allows a link is
+   the group opened and every pair of remaining members counted, by a matrix product. A pair of groups gives the edges
+   of a spanning forest, never all of its pairs.
 5. Components of the edges, and the smallest doc_id of each, come from repeated joins.
 
 How often a shingle is found is counted over all documents, chunk by chunk: only shingles found twice in a chunk count,
 so that few rows are shuffled. The order affects speed alone, as any fixed order finds all links. The shingles that are
-put last are sent to the executors whole; the least count for that rises with the corpus so that they stay under MAX_HOT.
+put last are sent to the executors whole; they are those of the highest counts, at most MAX_HOT.
 """
 
 from __future__ import annotations
@@ -24,17 +27,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import staged
+from .common import Temporary, staged
 
 WORDS = 4
 PERCENT = 85
 GROUP_DOCS = 256
+BLOCK_DOCS = 384
 GROUP_SHINGLES = 1_000_000
-CHUNK = 2_000_000
-MAX_HOT = 500_000
-HOT = 32
-COLUMNS = 8192
+CHUNK = 4_000_000
+MAX_HOT = 100_000
+COUNTED_TO = 4096
+COLUMNS = 4096
+BUCKETS = 2**20
+
+Keep = Callable[[DataFrame], DataFrame]
 
 _RNG = np.random.default_rng(20240501)
 _OF_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -96,7 +104,7 @@ def frequent(documents: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles to put last, sorted, and their counts: at most MAX_HOT."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, everything = [], 0, 0
+        held, size = [], 0
 
         def flush() -> pa.RecordBatch:
             tokens, n = np.unique(np.concatenate(held or [np.empty(0, dtype=np.int64)]), return_counts=True)
@@ -106,110 +114,242 @@ def frequent(documents: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             for text in batches_of(batch.column(0)):
                 held.append(shingles(text, words))
                 size += len(held[-1])
-                everything += len(held[-1])
                 if size >= CHUNK:
                     yield flush()
                     held, size = [], 0
         yield flush()
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([everything], pa.int64())], names=["token", "n"])
 
     counts = staged(documents.select(F.col("text").cast("string")).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
-    everything = counts.where("token IS NULL").agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    # Counts add up to all shingles at most, so no more than MAX_HOT of them can reach this.
-    hot = counts.where((F.col("n") >= max(HOT, -(-everything // MAX_HOT))) & F.col("token").isNotNull()).toPandas()
+    # The least count of those put last: the lowest that leaves at most MAX_HOT of them, or else they are the first MAX_HOT.
+    capped = F.least("n", F.lit(COUNTED_TO)).alias("n")
+    least, held = COUNTED_TO, 0
+    for n, tokens in sorted(counts.groupBy(capped).agg(F.count(F.lit(1))).collect(), reverse=True):
+        if (held := held + tokens) > MAX_HOT:
+            break
+        least = n
+    hot = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(MAX_HOT).toPandas()
     order = np.argsort(hot["token"].to_numpy(dtype=np.int64))
     return hot["token"].to_numpy(dtype=np.int64)[order], hot["n"].to_numpy(dtype=np.int64)[order]
 
 
-def with_prefixes(documents: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
-    """(doc_id, sig, n, prefix): the set's signature, its size and its first shingles in order."""
-    last = documents.sparkSession.sparkContext.broadcast(hot)
-
-    def prefix(tokens: np.ndarray) -> np.ndarray:
-        common, counts = last.value
-        if len(common) and len(tokens):
-            at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-            late = common[at] == tokens
-            if late.any():
-                tokens = np.concatenate((tokens[~late], tokens[late][np.argsort(counts[at[late]], kind="stable")]))
-        return tokens[: prefix_size(len(tokens), percent)]
+def sampled(documents: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int) -> DataFrame:
+    """(doc_id, sig, n, sample): the set's signature and size, and those of a quarter of all shingles that it holds, but
+    for those that are put last, which are known to be shared."""
+    last = documents.sparkSession.sparkContext.broadcast(hot[0])
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [shingles(t, words) for t in batches_of(batch.column(1))]
-            first = [prefix(x) for x in own]
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in first]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*first, np.empty(0, dtype=np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signature(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), lists], names=["doc_id", "sig", "n", "prefix"])
+            some = [x[(x & 3) == 0] for x in own]
+            some = [x[~found_in(last.value, x)] for x in some]
+            columns = [batch.column(0), pa.array([signature(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), lists_of(some)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sig", "n", "sample"])
 
     df = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    return df.mapInArrow(sets, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, sig long, n long, prefix array<long>")
+    return df.mapInArrow(sets, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, sig long, n long, sample array<long>")
+
+
+def found_in(ordered: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(x), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
+def lists_of(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in arrays]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0, dtype=np.int64)])))
+
+
+def candidates(classes: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Those of classes (sig, n, rep) that may have a link, by shingles (sig, token) of theirs: a set with one lacks at
+    most a fixed share of it in the other set, so no more of its shingles may be in no other class."""
+    alone = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held"), F.max("sig").alias("sig")).where("held = 1")
+    counts = alone.groupBy("sig").agg(F.count(F.lit(1)).alias("alone"))
+    may_lack = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    return classes.join(counts, "sig", "left").where(F.coalesce("alone", F.lit(0)) <= may_lack).select("sig", "n", "rep")
+
+
+def fetched(documents: DataFrame, wanted: DataFrame, words: int, name: str, make: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """wanted (with rep, sig, n) and what make gives of each set, as bytes; texts come from the rows of rep."""
+    columns = [*wanted.columns]
+
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingles(t, words) for t in batches_of(batch.column("text"))]
+            # A doc_id may have other texts too.
+            same = pa.array([signature(x) == s and len(x) == n for x, s, n in zip(own, batch.column("sig").to_pylist(), batch.column("n").to_pylist())], pa.bool_())
+            made = pa.array([make(x).tobytes() for x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), made], names=[*columns, name]).filter(same)
+
+    # At most BUCKETS rows, whatever the corpus: keeps most documents out of the shuffle while few are wanted.
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).alias("bucket")
+    buckets = F.broadcast(wanted.select(bucket("rep")).distinct())
+    texts = documents.select(F.col("doc_id").alias("rep"), F.col("text").cast("string").alias("text"), bucket("doc_id")).join(buckets, "bucket", "left_semi").drop("bucket")
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields)
+    # Merged at every size: wanted grows with the corpus, so a broadcast would only ever serve small ones.
+    return texts.join(wanted.hint("merge"), "rep").mapInArrow(sets, f"{types}, {name} binary")
+
 
+def rare_tokens(documents: DataFrame, wanted: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int) -> DataFrame:
+    """(sig, token): the shingles of each wanted set but for those that are put last, which are known to be shared."""
+    last = documents.sparkSession.sparkContext.broadcast(hot[0])
+    sets = fetched(documents, wanted, words, "prefix", lambda x: x[~found_in(last.value, x)])
+    return sets.dropDuplicates(["sig", "n"]).select("sig", "prefix").mapInArrow(numbers, "sig long, place long, token long").select("sig", "token")
 
-def groups_of(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (sig, n, rep, gid) of all groups, and pairs (a, b) of groups to compare, a = b included."""
-    postings = classes.select("sig", "n", "rep", F.posexplode("prefix").alias("place", "token"))
-    shared = staged(postings.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("held > 1").drop("held"))
-    keyed = shared.groupBy("sig", "n", "rep").agg(F.min(F.struct("place", "token")).alias("first")).select("sig", "n", "rep", F.col("first.token").alias("key"))
+
+def prefixes(documents: DataFrame, wanted: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
+    """wanted with prefix, the first shingles of each set in order, as bytes and as an array."""
+    last = documents.sparkSession.sparkContext.broadcast(hot)
+
+    def first(tokens: np.ndarray) -> np.ndarray:
+        late = found_in(last.value[0], tokens)
+        if late.any():
+            counts = last.value[1][np.searchsorted(last.value[0], tokens[late])]
+            tokens = np.concatenate((tokens[~late], tokens[late][np.argsort(counts, kind="stable")]))
+        return tokens[: prefix_size(len(tokens), percent)]
+
+    return fetched(documents, wanted, words, "prefix", first)
+
+
+def numbers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sig, place, token) of prefixes given as bytes."""
+    for batch in batches:
+        own = [np.frombuffer(x, dtype=np.int64) for x in batch.column("prefix").to_pylist()]
+        n = np.array([len(x) for x in own], dtype=np.int64)
+        place = np.concatenate([*(np.arange(k) for k in n), np.empty(0, dtype=np.int64)])
+        columns = [np.repeat(batch.column("sig").to_numpy(), n), place, np.concatenate([*own, np.empty(0, dtype=np.int64)])]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["sig", "place", "token"])
+
+
+def groups_of(classes: DataFrame, keep: Keep = staged) -> tuple[DataFrame, DataFrame]:
+    """Members (sig, n, rep, gid) of all groups, and pairs (a, b) of groups to compare, a before b."""
+    postings = classes.select("sig", "prefix").mapInArrow(numbers, "sig long, place long, token long")
+    shared = keep(postings.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("held > 1").select("sig", "token", "held"))
+    # The shingle that most of the others have too: members of one large group of near copies rarely differ in it.
+    keyed = shared.groupBy("sig").agg(F.max(F.struct("held", "token")).alias("most")).select("sig", F.col("most.token").alias("key"))
     near = Window.partitionBy("key").orderBy("n", "sig")
     size = F.sum("n").over(near.rowsBetween(Window.unboundedPreceding, 0))
-    members = staged(keyed.select("sig", "n", "rep", F.xxhash64("key", F.floor((F.row_number().over(near) - 1) / GROUP_DOCS), F.floor(size / GROUP_SHINGLES)).alias("gid")))
+    gid = F.xxhash64("key", F.floor((F.row_number().over(near) - 1) / GROUP_DOCS), F.floor(size / GROUP_SHINGLES))
+    members = keep(classes.select("sig", "n", "rep").join(keyed, "sig").select("sig", "n", "rep", gid.alias("gid")))
     matrix = shared.join(members.select("sig", "gid"), "sig").select("token", "gid").distinct()
     rows = matrix.groupBy("token").agg(F.collect_set("gid").alias("gids")).where(F.size("gids") > 1)
     others = matrix.join(rows, "token").groupBy("gid").agg(F.collect_set(F.array_sort("gids")).alias("gids"))
     pairs = others.select(F.col("gid").alias("a"), F.explode(F.array_distinct(F.filter(F.flatten("gids"), lambda g: g > F.col("gid")))).alias("b"))
-    return members, pairs
+    return packed(members, keep(pairs), keep)
+
 
+def packed(members: DataFrame, pairs: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
+    """Groups that candidate pairs connect, put together in blocks of at most BLOCK_DOCS classes, and the pairs of blocks.
 
-def edges_between(members: DataFrame, pairs: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
+    The many small groups beside a large one of near copies would else each be compared with it apart.
+    """
+    roots = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")), keep)
+    placed = members.join(roots, F.col("gid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "gid"))
+    order = Window.partitionBy("root").orderBy("gid", "n", "sig")
+    size = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    block = F.xxhash64("root", F.floor((F.row_number().over(order) - 1) / BLOCK_DOCS), F.floor(size / GROUP_SHINGLES))
+    blocks = keep(placed.withColumn("block", block).select("sig", "n", "rep", "gid", "block"))
+    held = blocks.select("gid", "block").distinct()
+    side = lambda x: held.select(F.col("gid").alias(x), F.col("block").alias(f"block_{x}"))
+    # A group that two blocks share is a pair of them as well.
+    apart = pairs.select("a", "b").unionByName(held.select(F.col("gid").alias("a"), F.col("gid").alias("b")).distinct())
+    between = apart.join(side("a"), "a").join(side("b"), "b").where("block_a <> block_b")
+    between = between.select(F.least("block_a", "block_b").alias("a"), F.greatest("block_a", "block_b").alias("b")).distinct()
+    return blocks.select("sig", "n", "rep", F.col("block").alias("gid")), between
+
+
+def streamed(batches: Iterable[pa.RecordBatch], value: str) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
+    """The rows of each pair (a, b) of groups, from batches sorted by it: (in a, rep, sig, n, array of value)."""
+    now, held = None, {}
+    for batch in batches:
+        for a, b, gid, rep, sig, n, data in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "gid", "rep", "sig", "n", value))):
+            if (a, b) != now:
+                if held:
+                    yield now, list(held.values())
+                now, held = (a, b), {}
+            held[sig] = (gid == a, rep, sig, n, np.frombuffer(data, dtype=np.int64))
+    if held:
+        yield now, list(held.values())
+
+
+def dealt(pairs: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
+    """Each pair with the rows of both of its groups, its rows in one place."""
+    both = pairs.withColumn("gid", F.explode(F.array_distinct(F.array("a", "b"))))
+    both = both.join(rows, "gid") if on == ["gid"] else both.withColumn("sig", F.explode("sigs")).drop("sigs").join(rows, on)
+    return both.repartition("a", "b").sortWithinPartitions("a", "b")
+
+
+def needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """How much sets of n and m elements must have in common for a link."""
+    return -(-percent * (n + m) // (100 + percent))
+
+
+def opened(rows: list[tuple], one_group: bool, percent: int) -> list[int]:
+    """sigs of the members that may have a link in the other group (or their own), by what prefixes tell.
+
+    Of two linked sets, the prefix that ends earlier in the order of shingles lacks no more in the other prefix than its
+    set may lack; so a pair is out only if both prefixes lack more. For a whole group, the union of its prefixes stands
+    for each member's.
+    """
+    sides = [rows, rows] if one_group else [[r for r in rows if r[0] is s] for s in (True, False)]
+    n, first = [np.array([r[3] for r in side]) for side in sides], [np.array([len(r[4]) for r in side]) for side in sides]
+    for k in (0, 1) if not one_group else ():
+        if not sides[0] or not sides[1]:
+            return []
+        union = np.unique(np.concatenate([r[4] for r in sides[1 - k]]))
+        bound = np.array([np.isin(r[4], union).sum() for r in sides[k]])[:, None]
+        alpha = needed(n[k][:, None], n[1 - k][None, :], percent)
+        may = (first[k][:, None] - bound <= n[k][:, None] - alpha) | (first[1 - k][None, :] - bound <= n[1 - k][None, :] - alpha)
+        keep = may.any(axis=1)
+        sides[k] = [r for r, own in zip(sides[k], keep) if own]
+        n[k], first[k] = n[k][keep], first[k][keep]
+    if not sides[0] or not sides[1]:
+        return []
+    both = sides[0] if one_group else sides[0] + sides[1]
+    common = overlaps([r[4] for r in both], np.array([len(r[4]) for r in both]))
+    if one_group:
+        np.fill_diagonal(common, 0)
+    else:
+        common = common[: len(sides[0]), len(sides[0]) :]
+    alpha = needed(n[0][:, None], n[1][None, :], percent)
+    may = (common > 0) & (alpha <= np.minimum(n[0][:, None], n[1][None, :]))
+    may &= (first[0][:, None] - common <= n[0][:, None] - alpha) | (first[1][None, :] - common <= n[1][None, :] - alpha)
+    if one_group:
+        np.fill_diagonal(may, False)
+        return [r[2] for r, own in zip(both, may.any(axis=1)) if own]
+    return [r[2] for r, own in zip(both, np.concatenate((may.any(axis=1), may.any(axis=0)))) if own]
+
+
+def edges_between(members: DataFrame, pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int, percent: int, keep: Keep = staged) -> DataFrame:
     """(u, v): edges between representatives that connect just those that links connect within each pair of groups."""
     sizes = members.groupBy("gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("docs"))
     side = lambda x: sizes.select(F.col("gid").alias(x), F.col("least").alias(f"least_{x}"), F.col("most").alias(f"most_{x}"))
     fit = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * most_a >= {percent} * least_b AND 100 * most_b >= {percent} * least_a").select("a", "b")
     alone = sizes.where("docs > 1").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    compared = staged(fit.unionByName(alone))
-    needed = compared.select(F.explode(F.array("a", "b")).alias("gid")).distinct()
+    rep = documents.schema["doc_id"].dataType.simpleString()
 
-    def full(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [shingles(t, words) for t in batches_of(batch.column("text"))]
-            same = pa.array([signature(x) == s and len(x) == n for x, s, n in zip(own, batch.column("sig").to_pylist(), batch.column("n").to_pylist())], pa.bool_())
-            out = pa.RecordBatch.from_arrays([batch.column("gid"), batch.column("rep"), batch.column("sig"), pa.array([x.tobytes() for x in own], pa.binary())], names=["gid", "rep", "sig", "tokens"])
-            yield out.filter(same)
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (a, b), rows in streamed(batches, "prefix"):
+            if sigs := opened(rows, a == b, percent):
+                yield pa.RecordBatch.from_arrays([pa.array([a], pa.int64()), pa.array([b], pa.int64()), pa.array([sigs], pa.list_(pa.int64()))], names=["a", "b", "sigs"])
 
-    texts = documents.select(F.col("doc_id").alias("rep"), F.col("text").cast("string").alias("text"))
-    rep = documents.schema["doc_id"].dataType.simpleString()
-    wanted = members.join(needed, "gid", "left_semi").select("rep", "gid", "sig", "n")
-    sets = staged(texts.join(wanted, "rep").mapInArrow(full, f"gid long, rep {rep}, sig long, tokens binary"))
-    both = compared.withColumn("gid", F.explode(F.array_distinct(F.array("a", "b")))).join(sets, "gid")
-    ordered = both.repartition("a", "b").sortWithinPartitions("a", "b")
+    own = members.join(classes.select("sig", "prefix"), "sig").select("gid", "rep", "sig", "n", "prefix")
+    chosen = keep(dealt(fit.unionByName(alone), own, ["gid"]).mapInArrow(choose, "a long, b long, sigs array<long>"))
+    sigs = chosen.select(F.explode("sigs").alias("sig")).distinct()
+    wanted = keep(members.join(sigs, "sig", "left_semi").select("rep", "gid", "sig", "n"))
+    sets = keep(fetched(documents, wanted, words, "tokens", lambda x: x))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[bool, object, np.ndarray]] = {}
-        now = None
-        kind = None
+        for (a, b), rows in streamed(batches, "tokens"):
+            if found := list(spanning(rows, a == b, percent)):
+                yield pa.RecordBatch.from_pydict({"u": [x[0] for x in found], "v": [x[1] for x in found]}, schema=edge)
 
-        def edges() -> pa.RecordBatch:
-            found = list(spanning(list(held.values()), now[0] == now[1], percent)) if held else []
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k in (0, 1)], names=["u", "v"])
+    edge = pa.schema([("u", to_arrow_type(documents.schema["doc_id"].dataType)), ("v", to_arrow_type(documents.schema["doc_id"].dataType))])
+    return dealt(chosen, sets, ["gid", "sig"]).mapInArrow(compare, f"u {rep}, v {rep}")
 
-        for batch in batches:
-            kind = batch.column("rep").type
-            rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b", "gid", "rep", "sig", "tokens")))
-            for a, b, gid, rep, sig, tokens in rows:
-                if (a, b) != now:
-                    if held:
-                        yield edges()
-                    held, now = {}, (a, b)
-                held[sig] = (gid == a, rep, np.frombuffer(tokens, dtype=np.int64))
-        if held:
-            yield edges()
-
-    return ordered.mapInArrow(compare, f"u {rep}, v {rep}")
-
-
-def spanning(rows: list[tuple[bool, object, np.ndarray]], one_group: bool, percent: int) -> Iterator[tuple]:
-    """Edges (u, v) of a forest over the rows (in the first group, id, set) that links within or between groups connect."""
+
+def spanning(rows: list[tuple], one_group: bool, percent: int) -> Iterator[tuple]:
+    """Edges (u, v) of a forest over rows of streamed() that links within or between groups connect."""
     if not one_group:
         first, second = ([r for r in rows if r[0] is s] for s in (True, False))
         if not first or not second:
@@ -218,8 +358,8 @@ def spanning(rows: list[tuple[bool, object, np.ndarray]], one_group: bool, perce
         rows = first + second if first and second else []
     if len(rows) < 2:
         return
-    sizes = np.array([len(r[2]) for r in rows])
-    common = overlaps([r[2] for r in rows], sizes)
+    sizes = np.array([r[3] for r in rows])
+    common = overlaps([r[4] for r in rows], sizes)
     linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
     if not one_group:
         side = np.array([r[0] for r in rows])
@@ -237,19 +377,12 @@ def spanning(rows: list[tuple[bool, object, np.ndarray]], one_group: bool, perce
             yield rows[k][1], rows[label][1]
 
 
-def qualifying(queries: list, group: list, percent: int) -> list:
+def qualifying(queries: list[tuple], group: list[tuple], percent: int) -> list[tuple]:
     """Those queries whose overlap with the union of the group's sets allows a link to one of its members."""
-    union = np.unique(np.concatenate([g[2] for g in group]))
-    least = min(len(g[2]) for g in group)
-    out = []
-    for query in queries:
-        n = len(query[2])
-        at = np.minimum(np.searchsorted(union, query[2]), len(union) - 1)
-        bound = int((union[at] == query[2]).sum())
-        # common * (100 + percent) >= percent * (n + size), and common <= bound
-        if bound * (100 + percent) >= percent * (n + least) and 100 * bound >= percent * n:
-            out.append(query)
-    return out
+    union = np.unique(np.concatenate([g[4] for g in group]))
+    least = min(g[3] for g in group)
+    bound = lambda q: int(np.isin(q[4], union, assume_unique=True).sum())
+    return [q for q in queries if bound(q) >= max(needed(q[3], least, percent), -(-percent * q[3] // 100))]
 
 
 def overlaps(sets: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
@@ -272,7 +405,7 @@ def overlaps(sets: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     return common
 
 
-def components(edges: DataFrame, step: Callable[[DataFrame], DataFrame] = staged) -> DataFrame:
+def components(edges: DataFrame, step: Keep = staged) -> DataFrame:
     """(node, root): every node of the edges (u, v) with the smallest node that it can reach.
 
     Alternates two joins until nothing changes: each node's larger neighbours are hung on its smallest one, then its
@@ -302,11 +435,17 @@ def ngram_jaccard(documents: DataFrame, words: int = WORDS, percent: int = PERCE
     its row has the smallest doc_id among the others that hold the same set, else null. Other columns are ignored.
     """
     hot = frequent(documents, words)
-    docs = staged(with_prefixes(documents, hot, words, percent))
-    # A class's prefix depends on its set alone.
-    classes = staged(docs.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix")))
-    members, pairs = groups_of(classes)
-    edges = edges_between(members, pairs, documents, words, percent)
+    docs = staged(sampled(documents, hot, words))
+    classes = docs.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
+    temporary = Temporary()
+    own = docs.where("n > 0 AND doc_id IS NOT NULL")
+    sample = own.groupBy("sig", "n").agg(F.first("sample").alias("sample")).select("sig", F.explode("sample").alias("token"))
+    likely = temporary.staged(candidates(classes, sample, percent))
+    likely = temporary.staged(candidates(likely, rare_tokens(documents, likely, hot, words), percent))
+    first = temporary.staged(prefixes(documents, likely, hot, words, percent).dropDuplicates(["sig", "n"]))
+    members, pairs = groups_of(first, temporary.staged)
+    edges = staged(edges_between(members, pairs, first, documents, words, percent, temporary.staged))
+    temporary.release()
     placed = docs.select("doc_id", "sig", "n").join(classes.select("sig", "n", "rep"), ["sig", "n"], "left")
     several = placed.where("rep IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v"), F.count(F.lit(1)).alias("rows")).where("u <> v")
     joined = placed.join(several.select("doc_id", "u"), "doc_id").select("u", F.col("rep").alias("v"))
