@@ -130,6 +130,7 @@ def near_copies(rng, groups=12, copies=12, size=80):
 @pytest.mark.parametrize("group", [N.GROUP_DOCS, 3])
 def test_components_are_those_of_brute_force(spark, monkeypatch, group):
     monkeypatch.setattr(N, "GROUP_DOCS", group)
+    monkeypatch.setattr(N, "BLOCK_DOCS", 2 * group + 1)
     rows = near_copies(random.Random(2))
     assert Counter(map(tuple, N.ngram_jaccard(documents(spark, rows)).collect())) == brute_components(rows)
 
