@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, text_or_empty
+from .common import let, staged, text_or_empty
 
 # The kinds in the order in which spans of the same start are listed, their patterns, the group whose
 # length counts, and the least length.
@@ -71,7 +71,8 @@ def secret_scan(documents: DataFrame, repository: str = "doc_id", owner: str = "
     df = df.withColumn("__base", F.concat("__assign", "__access", "__hex"))
     apart = lambda x: ~F.exists("__base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
     df = df.withColumn("__more", F.filter("__mixed", apart))
-    df = df.withColumn("__hashes", F.transform(F.concat("__base", "__more"), lambda x: F.sha2(x["value"], 256)))
+    df = df.withColumn("__hashes", F.transform(F.concat("__base", "__more"), lambda x: F.sha2(x["value"], 256))).drop("__mixed")
+    df = staged(df)  # a few spans a row: counts and verdicts need them, and the texts no more
 
     # Null owners and repositories become values of their own; distinct triples first, then counts.
     held = df.select(F.explode("__hashes").alias("hash"), F.coalesce("__owner", F.lit("")).alias("o"), F.coalesce("__repository", F.lit("")).alias("r"), F.col("doc_id").alias("d"))
