@@ -4,10 +4,11 @@ A document passes when its fixed limits hold and, if it is long enough to be jud
 character classes nor its histogram of common words is further from the language's than a limit. Distances are
 Jensen-Shannon distances, the square root of the divergence in bits: 0 for the same histogram, 1 for disjoint ones.
 
-The language's histograms are sums over all documents of that language that pass the fixed limits; they are a few rows,
-summed on the map side, so that one source or language with most of the rows doesn't meet in one task. Everything about
-one text is computed within its row, so the texts are read once and never shuffled. The common words of a language
-without a fixed list are counted over all those documents, and its words are written beside the counts for that.
+The common words of a language are the most frequent ones of all its documents, counted in a first pass; its histograms
+are sums over all its documents that pass the fixed limits. Both are a few rows for each language, summed on the map
+side, so that one source or language with most of the rows doesn't meet in one task. Everything about one text is
+computed within its row, so the texts are read twice and never shuffled. References that come from another corpus can be
+given instead.
 """
 
 from __future__ import annotations
@@ -15,21 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, space_words, staged, text_or_empty
+from .common import Temporary, let, space_words, text_or_empty
 
-# Frequent words of each language tag, in the order of the histogram's bins.
-COMMON_WORDS = {
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden",
-    "en": "the of and to in a is that for it as was with be by on not this are or from at which have",
-    "es": "de la que el en y a los se del las un por con no una su para es al lo como más o",
-    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce",
-}
 #: Lower case and white space together, then what each pattern takes away from what earlier ones left.
 FLOWING = r"[\p{Ll}\x20\x09-\x0D]+"
 OTHERS = (("upper", r"\p{Lu}+"), ("digit", r"\p{Nd}+"), ("symbol", r"[#*$%&|<>]+"), ("punct", r"\p{P}+"))
 CLASSES = ("space", "lower", *(name for name, _ in OTHERS), "other")
 WINDOW = 5
-#: Common words that are counted for each language without a list.
+#: Common words of a language.
 N_COMMON = 24
 
 
@@ -91,48 +85,31 @@ def base_failed(min_words: int = 10, max_repeat_percent: int = 20) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
 
 
-def common_counts(words: Column, lang: Column, listed: dict[str, str]) -> Column:
-    """How often each common word of the language is among words, then how many other words; null without a list for it."""
-    if not listed:
-        return F.lit(None).cast("array<int>")
-    lists = F.create_map(*[F.lit(x) for tag, own in listed.items() for x in (tag, own.replace(" ", ","))])
-    sizes = F.create_map(*[F.lit(x) for tag, own in listed.items() for x in (tag, len(own.split()))])
-    # find_in_set gives 0 for a word that isn't listed, as for any with a comma.
-    hits = let(lists[lang], lambda own: F.array_remove(F.transform(words, lambda w: F.find_in_set(w, own)), 0))
-    counts = let(hits, lambda h: F.concat(F.transform(F.sequence(F.lit(1), sizes[lang]), lambda k: F.size(h) - F.size(F.array_remove(h, k))), F.array(F.size(words) - F.size(h))))
-    return F.when(lang.isin(*listed), counts)
+def common_words(documents: DataFrame, n_common: int = N_COMMON) -> DataFrame:
+    """(__lang, common): the n_common most frequent words of each language, ties by the word; from documents (__lang, text)."""
+    words = documents.where("__lang IS NOT NULL").select("__lang", F.explode(space_words(text_or_empty("text"))).alias("word"))
+    counts = words.groupBy("__lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    # Each task keeps its first n_common words of a language before they meet.
+    ranked = counts.withColumn("k", F.row_number().over(Window.partitionBy("__lang").orderBy(F.desc("n"), "word"))).where(F.col("k") <= n_common)
+    top = ranked.groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("k", "word"))).alias("__top"))
+    return top.select("__lang", F.transform("__top", lambda x: x["word"]).alias("common"))
 
 
-def counted_counts(words: Column, common: Column) -> Column:
-    """As common_counts() for an array of common words, which may hold commas; null without words or common ones."""
-    hits = F.array_remove(F.transform(words, lambda w: F.array_position(common, w)), 0)
+def common_counts(words: Column, common: Column) -> Column:
+    """How often each of an array of common words is among words, then how many other words; null without common ones."""
+    hits = let(common, lambda own: F.array_remove(F.transform(words, lambda w: F.array_position(own, w)), 0))
     counts = let(hits, lambda h: F.concat(F.transform(common, lambda _, k: F.size(h) - F.size(F.array_remove(h, (k + 1).cast("long")))), F.array(F.size(words) - F.size(h))))
-    return F.when(words.isNotNull() & common.isNotNull(), counts)
-
+    return F.when(common.isNotNull(), counts)
 
-def language_references(counted: DataFrame, n_common: int = N_COMMON, listed: dict[str, str] | None = None) -> DataFrame:
-    """For each language __lang the sums of __word_counts (word_counts) and of __classes (class_counts), and common.
 
-    common: the n_common most frequent of its __unlisted words (ties by word), with their counts and then that of all
-    other words as its word_counts; null for a listed language.
-    """
-    bins = max((len(x.split()) for x in (COMMON_WORDS if listed is None else listed).values()), default=0) + 1
-    good = counted.where(~base_failed() & F.col("__lang").isNotNull())
-    sums = good.groupBy("__lang").agg(
-        F.array(*[F.sum(F.coalesce(F.get("__word_counts", F.lit(k)), F.lit(0))) for k in range(bins)]).alias("__listed_counts"),
+def language_references(counted: DataFrame, n_common: int = N_COMMON) -> DataFrame:
+    """For each language __lang the sums of __word_counts (word_counts) and of __classes (class_counts)."""
+    sums = counted.where(~base_failed() & F.col("__lang").isNotNull()).groupBy("__lang").agg(
+        F.array(*[F.sum(F.get("__word_counts", F.lit(k))) for k in range(n_common + 1)]).alias("word_counts"),
         F.array(*[F.sum(F.col("__classes")[k]) for k in range(len(CLASSES))]).alias("class_counts"),
-        F.sum("n_words").alias("__all_words"),
-    )
-    words = good.select("__lang", F.explode("__unlisted").alias("word")).groupBy("__lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    # Each task keeps its first n_common words of a language before they meet.
-    ranked = words.withColumn("k", F.row_number().over(Window.partitionBy("__lang").orderBy(F.desc("n"), "word"))).where(F.col("k") <= n_common)
-    top = ranked.groupBy("__lang").agg(F.sort_array(F.collect_list(F.struct("k", "word", "n"))).alias("__top"))
-    counts = F.transform("__top", lambda x: x["n"])
-    rest = F.col("__all_words") - F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
-    return sums.join(top, "__lang", "left").select(
-        "__lang", F.transform("__top", lambda x: x["word"]).alias("common"),
-        F.when(F.col("__top").isNull(), F.col("__listed_counts")).otherwise(F.concat(counts, F.array(rest))).alias("word_counts"), "class_counts",
     )
+    # A language with fewer words has fewer bins.
+    return sums.withColumn("word_counts", F.filter("word_counts", lambda x: x.isNotNull()))
 
 
 def distance(p: str, q: str) -> Column:
@@ -145,31 +122,40 @@ def distance(p: str, q: str) -> Column:
     return F.expr(f"CASE WHEN {sums} THEN sqrt(greatest(0D, aggregate(transform({shares}, a -> {term}), 0D, (s, x) -> s + x))) END")
 
 
-def quality_rules(documents: DataFrame, min_words: int = 60, min_chars: int = 200, max_word_distance: float = 0.45, max_class_distance: float = 0.28, references: DataFrame | None = None, n_common: int = N_COMMON, listed: dict[str, str] | None = None) -> DataFrame:
+def quality_rules(documents: DataFrame, min_words: int = 60, min_chars: int = 200, max_word_distance: float = 0.45, max_class_distance: float = 0.28, references: DataFrame | None = None, n_common: int = N_COMMON) -> DataFrame:
     """For each row of documents (doc_id, text, lang): its counts, base_failed, the two distances and kept.
 
     A null or empty text has no words and fails. Texts of under min_words words have no word_distance, those of under
     min_chars code points no class_distance, and those of a null language, or of one of which no text passes the fixed
-    limits, neither. A distance that is missing rejects nothing. Common words are those of listed (COMMON_WORDS unless
-    given) or, for any other language tag, its n_common most frequent ones in the texts that pass the fixed limits; with
-    an empty dictionary all are counted. Repeated rows give repeated results. Other columns are ignored. references: as
-    language_references() makes them, in place of the corpus's own.
+    limits, neither. A distance that is missing rejects nothing. Common words are the n_common most frequent ones of each
+    language. Repeated rows give repeated results. Other columns are ignored. references (lang, common, word_counts,
+    class_counts), as corpus_references() makes them, stand in place of the corpus's own.
     """
-    listed = COMMON_WORDS if listed is None else listed
-    df = text_counts(documents.select("doc_id", "text", F.col("lang").alias("__lang")), ["doc_id", "__lang"])
+    documents = documents.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").alias("__lang"))
+    temporary = Temporary()
+    given = references is not None
+    references = references.withColumnRenamed("lang", "__lang") if given else temporary.staged(common_words(documents, n_common))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    # Written once: the languages' sums and the verdicts both need the counts, and the texts no more.
-    unlisted = F.when(F.col("__lang").isNotNull() & ~F.col("__lang").isin(*listed), F.col("__words")).alias("__unlisted")
-    df = staged(df.select("doc_id", "__lang", *counts, "__classes", common_counts(F.col("__words"), F.col("__lang"), listed).alias("__word_counts"), unlisted))
-    references = staged(language_references(df, n_common, listed)) if references is None else references
     # A row for each language tag; Spark broadcasts them only within its own size limit.
-    joined = df.join(references, "__lang", "left")
-    judged = F.when(F.col("n_words") >= min_words, F.coalesce("__word_counts", counted_counts(F.col("__unlisted"), F.col("common"))))
-    joined = joined.withColumn("__own", judged)
+    df = text_counts(documents.join(references.select("__lang", "common"), "__lang", "left"), ["doc_id", "__lang", "common"])
+    # Written once: the languages' sums and the verdicts both need the counts, and the texts no more.
+    df = temporary.staged(df.select("doc_id", "__lang", *counts, "__classes", common_counts(F.col("__words"), F.col("common")).alias("__word_counts")))
+    sums = references.select("__lang", "word_counts", "class_counts") if given else temporary.staged(language_references(df, n_common))
+    joined = df.join(sums, "__lang", "left").withColumn("__own", F.when(F.col("n_words") >= min_words, F.col("__word_counts")))
     far = F.coalesce(F.col("word_distance") > max_word_distance, F.lit(False)) | F.coalesce(F.col("class_distance") > max_class_distance, F.lit(False))
     out = joined.select(
         "doc_id", *counts, base_failed().alias("base_failed"),
         distance("__own", "word_counts").alias("word_distance"),
         F.when(F.aggregate("__classes", F.lit(0).cast("long"), lambda a, x: a + x) >= min_chars, distance("__classes", "class_counts")).alias("class_distance"),
     )
-    return out.withColumn("kept", ~F.col("base_failed") & ~far)
+    return temporary.last(out.withColumn("kept", ~F.col("base_failed") & ~far))
+
+
+def corpus_references(documents: DataFrame, n_common: int = N_COMMON) -> DataFrame:
+    """(lang, common, word_counts, class_counts) of a corpus of documents (text, lang), for use on others."""
+    documents = documents.select(F.col("text").cast("string").alias("text"), F.col("lang").alias("__lang"))
+    temporary = Temporary()
+    words = temporary.staged(common_words(documents, n_common))
+    df = text_counts(documents.join(words, "__lang", "left"), ["__lang", "common"])
+    df = df.withColumn("__word_counts", common_counts(F.col("__words"), F.col("common")))
+    return temporary.last(language_references(df, n_common).join(words, "__lang").select(F.col("__lang").alias("lang"), "common", "word_counts", "class_counts"))
