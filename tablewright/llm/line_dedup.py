@@ -21,12 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Temporary, staged
+from .common import Temporary, bucket_of, buckets_of, let, packed, unpacked
 
-MIN_CHARS = 12
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 LINES_A_DOC = 2**31
-#: Bounds the rows of the broadcast that thins out lines before a join.
-BUCKETS = 2**18
 SEGMENTS = 12
 
 
@@ -39,14 +37,27 @@ def plain(line: Column) -> Column:
     return F.lower(F.trim(one_space))
 
 
-def lines_of(documents: DataFrame) -> DataFrame:
-    """(at, a, b, plain): place, 128-bit hash and plain form of each line with something in it.
+def place_at(documents: DataFrame, line_no: Column) -> Column:
+    """A place, ordered by doc_id, then line: for whole numbers one number, whose least value is found without sorting."""
+    if documents.schema["doc_id"].dataType.simpleString() in INTEGERS:
+        at = F.col("doc_id").cast("decimal(20,0)") * F.lit(LINES_A_DOC).cast("decimal(11,0)") + line_no
+        return at.cast("decimal(38,0)")
+    return F.struct(F.col("doc_id").alias("id"), line_no.cast("int").alias("k"))
 
-    A place is one number, so that its least value is found without sorting; doc_id must be an integer.
-    """
+
+def place_of(documents: DataFrame, at: Column) -> tuple[Column, Column]:
+    """id and k: doc_id and line number of a place."""
+    kind = documents.schema["doc_id"].dataType
+    if kind.simpleString() not in INTEGERS:
+        return at["id"].alias("id"), at["k"].alias("k")
+    size = F.lit(LINES_A_DOC).cast("decimal(38,0)")
+    return F.floor((at - F.pmod(at, size)) / size).cast(kind).alias("id"), F.pmod(at, size).cast("int").alias("k")
+
+
+def lines_of(documents: DataFrame) -> DataFrame:
+    """(at, a, b, plain): place, 128-bit hash and plain form of each line with something in it."""
     lines = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    at = F.col("doc_id").cast("decimal(20,0)") * F.lit(LINES_A_DOC).cast("decimal(11,0)") + F.col("line_no")
-    lines = lines.select(at.cast("decimal(38,0)").alias("at"), plain(F.col("line")).alias("plain"))
+    lines = lines.select(place_at(documents, F.col("line_no")).alias("at"), plain(F.col("line")).alias("plain"))
     return lines.select("at", F.xxhash64("plain").alias("a"), F.xxhash64(F.lit(7), F.col("plain")).alias("b"), "plain").where("plain <> ''")
 
 
@@ -64,11 +75,13 @@ def candidates(lines: DataFrame, forms: DataFrame, documents: DataFrame, tempora
     keys = lines.select("a", F.explode("halves").alias("key"))
     several = keys.groupBy("key").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("key")
     near = keys.join(several, "key", "left_semi").select("a").distinct()
-    wanted = temporary.staged(near.join(forms, "a").select("a", "b", "first", *place_of(F.col("first"))))
-    # At most BUCKETS rows, whatever the corpus: keeps most documents out of the shuffle while candidates are few.
-    buckets = F.broadcast(wanted.select(F.pmod("id", F.lit(BUCKETS)).alias("bucket")).distinct())
-    some = documents.select(F.col("doc_id").cast("long").alias("id"), "text", F.pmod(F.col("doc_id").cast("long"), F.lit(BUCKETS)).alias("bucket")).join(buckets, "bucket", "left_semi")
-    found = some.join(wanted, "id").select("a", "b", "first", plain(F.get(F.split("text", "\n"), F.col("k"))).alias("plain"))
+    wanted = near.join(forms, "a").select(F.struct("a", "b", "first").alias("form"), *place_of(documents, F.col("first")))
+    # At most all lines of one document come together.
+    wanted = temporary.staged(wanted.groupBy("id").agg(F.collect_list(F.struct("k", "form")).alias("forms")))
+    # Keeps most documents out of the shuffle while candidates are few.
+    some = documents.select(F.col("doc_id").alias("id"), "text").withColumn("__bucket", bucket_of("id")).join(buckets_of(wanted, "id"), "__bucket", "left_semi")
+    own = let(F.split("text", "\n"), lambda lines: F.transform("forms", lambda x: F.struct(x["form"].alias("form"), F.get(lines, x["k"]).alias("line"))))
+    found = some.join(wanted, "id").select(F.explode(own).alias("x")).select("x.form.*", plain(F.col("x.line")).alias("plain"))
     # A doc_id may have other texts too; repeated rows give a form twice.
     return temporary.staged(found.where((F.xxhash64("plain") == F.col("a")) & (F.xxhash64(F.lit(7), F.col("plain")) == F.col("b"))).dropDuplicates(["a", "b"]))
 
@@ -106,52 +119,50 @@ def superseded(chosen: DataFrame, temporary: Temporary) -> DataFrame:
     pairs = by_replaced.union(pairs).where("first <> other").distinct()
     texts = chosen.select("first", "a", "b", "plain")
     verified = pairs.join(texts, "first").join(texts.select(F.col("first").alias("other"), F.col("plain").alias("against")), "other")
-    return verified.where(F.levenshtein("plain", "against", 1) >= 0).select("a", "b").distinct()
-
-
-def place_of(at: Column) -> tuple[Column, Column]:
-    """id and k: doc_id and line number of a place."""
-    size = F.lit(LINES_A_DOC).cast("decimal(38,0)")
-    return F.floor((at - F.pmod(at, size)) / size).cast("long").alias("id"), F.pmod(at, size).cast("int").alias("k")
+    return temporary.staged(verified.where(F.levenshtein("plain", "against", 1) >= 0).select("a", "b").distinct())
 
 
-def dropped_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped_lines(documents: DataFrame) -> DataFrame:
     """(__id, __exact, __near): of each doc_id with lines to drop, the numbers of those equal and near to an earlier one."""
-    halves = F.when(F.length("plain") >= min_chars, halves_of(F.col("plain")))
-    lines = staged(lines_of(documents).select("at", "a", "b", halves.alias("halves")))
-    forms = staged(lines.groupBy("a", "b").agg(F.min("at").alias("first"), F.max("at").alias("last")))
     temporary = Temporary()
-    near = staged(superseded(candidates(lines, forms, documents, temporary), temporary)).withColumn("near", F.lit(True))
-    temporary.release()
+    lines = temporary.staged(lines_of(documents).select("at", "a", "b", halves_of(F.col("plain")).alias("halves")))
+    forms = temporary.staged(lines.groupBy("a", "b").agg(F.min("at").alias("first"), F.max("at").alias("last")))
+    near = superseded(candidates(lines, forms, documents, temporary), temporary).withColumn("near", F.lit(True))
     # Only forms that have something to drop meet the lines again.
     marked = forms.join(near, ["a", "b"], "left").where("near OR first < last").select("a", "b", "first", F.coalesce("near", F.lit(False)).alias("near"))
     hit = lines.select("at", "a", "b").join(marked, ["a", "b"]).where("near OR at > first")
     again = (F.col("at") > F.col("first")).alias("again")
-    return hit.select(*place_of(F.col("at")), again).groupBy(F.col("id").alias("__id")).agg(
+    return temporary.last(hit.select(*place_of(documents, F.col("at")), again).groupBy(F.col("id").alias("__id")).agg(
         F.array_sort(F.collect_set(F.when(F.col("again"), F.col("k")))).alias("__exact"),
         F.array_sort(F.collect_set(F.when(~F.col("again"), F.col("k")))).alias("__near"),
-    )
+    ))
 
 
-def with_kept_text(documents: DataFrame, min_chars: int) -> DataFrame:
-    """documents with __exact and __near (numbers of dropped lines) and __kept (the text of the others; null if it was)."""
+def with_kept_text(df: DataFrame) -> DataFrame:
+    """df (doc_id, text, ...) with __exact and __near (numbers of dropped lines) and __kept (the text of the others; null if it was)."""
     none = F.array().cast("array<int>")
-    dropped = dropped_lines(documents.select("doc_id", F.col("text").cast("string").alias("text")), min_chars)
-    df = documents.join(dropped, F.col("doc_id") == F.col("__id"), "left").drop("__id").withColumns({c: F.coalesce(c, none) for c in ("__exact", "__near")})
+    dropped = dropped_lines(df.select("doc_id", "text"))
+    # Documents that share no bucket with one that loses lines don't meet the list of them.
+    concerned = buckets_of(dropped, "__id")
+    df = df.withColumn("__bucket", bucket_of("doc_id"))
+    apart = df.join(concerned, "__bucket", "left_anti").withColumns({c: F.lit(None).cast("array<int>") for c in ("__exact", "__near")})
+    near = df.join(concerned, "__bucket", "left_semi").join(dropped, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    df = near.unionByName(apart).drop("__bucket").withColumns({c: F.coalesce(c, none) for c in ("__exact", "__near")})
     gone = F.array_union("__exact", "__near")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(gone, i)), "\n")
-    return df.withColumn("__kept", F.when(F.size(gone) == 0, F.col("text")).otherwise(kept))
+    # The numbers that stay are found by one pass over each list.
+    stay = let(F.split("text", "\n"), lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda k: F.get(lines, k)))
+    return df.withColumn("__kept", F.when(F.size(gone) == 0, F.col("text")).otherwise(F.array_join(stay, "\n")))
 
 
-def line_dedup(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_dedup(documents: DataFrame) -> DataFrame:
     """For each row of documents (doc_id, text): n_lines, n_exact and n_near (lines dropped), n_chars_kept and kept_sha256.
 
-    Lines that are empty in plain form always stay; plain forms of under min_chars characters are dropped only when
-    equal. A null text has no lines and its kept text is empty. A row with a null doc_id has no place, so it neither
-    drops nor loses lines. Rows of the same doc_id are at the same place: lines of the same number don't drop each other,
-    so repeated rows keep the same lines. Other columns are ignored.
+    Lines that are empty in plain form always stay; lines of any other length are compared alike. A null text has no
+    lines and its kept text is empty. A row with a null doc_id has no place, so it neither drops nor loses lines. Rows of
+    the same doc_id are at the same place: lines of the same number don't drop each other, so repeated rows keep the same
+    lines. doc_id may be of any type that has an order. Other columns are ignored.
     """
-    df = with_kept_text(documents.select("doc_id", F.col("text").cast("string").alias("text")), min_chars)
+    df = with_kept_text(documents.select("doc_id", F.col("text").cast("string").alias("text")))
     kept = F.coalesce("__kept", F.lit(""))
     return df.select(
         "doc_id",
@@ -163,10 +174,9 @@ def line_dedup(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def deduplicated(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def deduplicated(documents: DataFrame) -> DataFrame:
     """documents with their remaining lines as text, and without those of which no word remains though they had some."""
     wordy = lambda c: F.coalesce(F.rlike(F.col(c), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    df = with_kept_text(documents.withColumn("text", F.col("text").cast("string")), min_chars)
     # The row number keeps the filter above the texts, which it would otherwise put together twice.
-    df = df.withColumn("__row", F.monotonically_increasing_id()).where((F.col("__row") >= 0) & (wordy("__kept") | ~wordy("text")))
-    return df.withColumn("text", F.col("__kept")).select(*documents.columns)
+    df = with_kept_text(packed(documents)).withColumn("__row", F.monotonically_increasing_id())
+    return unpacked(df.where((F.col("__row") >= 0) & (wordy("__kept") | ~wordy("text"))), documents, text=F.col("__kept"))
