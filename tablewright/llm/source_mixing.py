@@ -1,7 +1,7 @@
 """Mixing sources to target weights: iterative proportional fitting of token weights, then sampling.
 
 Tokens are summed by cell (source, language, topic). The cells' weights are raked in turn to each dimension's target
-shares until they stand; the ratio of a cell's weight to its tokens, scaled so that the largest is 1, is the probability
+shares until no share is off by more than TOLERANCE of itself; the ratio of a cell's weight to its tokens, scaled so that the largest is 1, is the probability
 with which each of its documents is kept. A document's draw is a hash of its id, so a sample is the same at every run,
 whatever the partitions.
 
@@ -11,14 +11,19 @@ broadcast if there are at most BROADCAST_CELLS of them, else by a join that Spar
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import warnings
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import space_words, staged, text_or_empty
+from .common import Temporary, packed, space_words, text_or_empty, unpacked
 
 DIMENSIONS = ("source", "lang", "topic")
 NONE = "(none)"
-ROUNDS = 8
+TOLERANCE = 1e-10
+MAX_ROUNDS = 60
+#: A round that leaves more than this part of what was off is no progress.
+STALLED = 0.995
 BROADCAST_CELLS = 100_000
 HASH_RANGE = 16**8
 
@@ -41,21 +46,39 @@ def tempered_targets(cells: DataFrame, dimension: str, power: float) -> DataFram
     return own.crossJoin(F.broadcast(total)).select(dimension, (F.col("share") / F.col("__all")).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS, temporary: Temporary | None = None) -> DataFrame:
     """Adds weight to cells (source, lang, topic, tokens): it starts as tokens and is fitted to the targets (dimension, share).
 
-    A value without a target gets none of the weight. Weights sum to 1 after each step if every target has tokens.
+    A value without a target gets none of the weight. Weights sum to 1 after each step if every target has tokens. Ends
+    when each value's sum of weights is within tolerance of its share, relative to it; warns if it ends before that, after
+    max_rounds or without progress, as where the targets contradict each other.
     """
+    final = temporary or Temporary()
     df = cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
     for name in DIMENSIONS:
         df = df.join(targets[name].select(name, F.col("share").alias(f"__{name}")), name, "left").fillna(0.0, [f"__{name}"])
-    for done in range(1, rounds + 1):
+    old = Temporary()
+    df = old.staged(df)
+    # The sum of a value's weights is a join away, and was summed on the map side; no value's cells meet in one task.
+    sums = lambda df, name: df.groupBy(name).agg(F.sum("weight").alias("__held"), F.max(f"__{name}").alias("__share"))
+    worst = None
+    for _ in range(max_rounds):
         for name in DIMENSIONS:
-            held = F.sum("weight").over(Window.partitionBy(name))
-            df = df.withColumn("weight", F.when(held > 0, F.col("weight") * F.col(f"__{name}") / held).otherwise(0.0))
-        if done % 4 == 0 or done == rounds:
-            df = staged(df)
-    return df.drop(*[f"__{name}" for name in DIMENSIONS])
+            fitted = F.when(F.col("__held") > 0, F.col("weight") * F.col(f"__{name}") / F.col("__held")).otherwise(0.0)
+            df = df.join(sums(df, name).drop("__share"), name).withColumn("weight", fitted).drop("__held")
+        new = Temporary()
+        df = new.staged(df)
+        old.release()
+        old = new
+        off = [sums(df, name).where("__share > 0 AND __held > 0").select(F.abs(F.col("__held") / F.col("__share") - 1).alias("off")) for name in DIMENSIONS]
+        before, worst = worst, off[0].unionAll(off[1]).unionAll(off[2]).agg(F.max("off")).first()[0] or 0.0
+        if worst <= tolerance or (before is not None and worst > STALLED * before):
+            break
+    if worst and worst > tolerance:
+        warnings.warn(f"shares are still off by {worst:.2g} of themselves: the targets may contradict each other", stacklevel=2)
+    out = final.staged(df.drop(*[f"__{name}" for name in DIMENSIONS]))
+    old.release()
+    return out
 
 
 def probabilities(cells: DataFrame) -> DataFrame:
@@ -65,14 +88,15 @@ def probabilities(cells: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(top)).withColumn("probability", F.when(F.col("__top") > 0, F.col("ratio") / F.col("__top")).otherwise(0.0)).drop("__top")
 
 
-def with_probabilities(documents: DataFrame, keep: list[str], topic: Column | None = None, targets: dict[str, DataFrame] | None = None, power: float = 0.7, rounds: int = ROUNDS) -> DataFrame:
+def with_probabilities(documents: DataFrame, keep: list[str], topic: Column | None = None, targets: dict[str, DataFrame] | None = None, power: float = 0.7, tolerance: float = TOLERANCE, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """keep, and __tokens, __source, __lang, __topic, __ratio, __probability, __draw of each row."""
+    temporary = Temporary()
     docs = documents.select(*keep, F.size(space_words(text_or_empty("text"))).cast("long").alias("__tokens"), *[F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(f"__{c}") for c in ("source", "lang")], draw(F.col("doc_id")).alias("__draw"))
     docs = docs.withColumn("__topic", F.coalesce(topic, F.lit(NONE)) if topic is not None else length_band(F.col("__tokens")))
-    cells = staged(docs.groupBy(*[F.col(f"__{c}").alias(c) for c in DIMENSIONS]).agg(F.sum("__tokens").alias("tokens")))
+    cells = temporary.staged(docs.groupBy(*[F.col(f"__{c}").alias(c) for c in DIMENSIONS]).agg(F.sum("__tokens").alias("tokens")))
     if targets is None:
         targets = {c: tempered_targets(cells, c, power) for c in DIMENSIONS}
-    raked = staged(probabilities(rake(cells, targets, rounds)))
+    raked = temporary.last(probabilities(rake(cells, targets, tolerance, max_rounds, temporary)))
     own = raked.select(*[F.col(c).alias(f"__{c}") for c in DIMENSIONS], F.col("ratio").alias("__ratio"), F.col("probability").alias("__probability"))
     own = F.broadcast(own) if raked.count() <= BROADCAST_CELLS else own
     # A cell without tokens has no weight; its documents are empty.
@@ -95,5 +119,5 @@ def source_mixing(documents: DataFrame, **options) -> DataFrame:
 
 def sample_documents(documents: DataFrame, **options) -> DataFrame:
     """The rows of documents that source_mixing() samples, with their columns."""
-    df = with_probabilities(documents, documents.columns, **options)
-    return df.where(F.col("__draw") < F.col("__probability")).select(*documents.columns)
+    df = with_probabilities(packed(documents, "source", "lang"), ["__own"], **options)
+    return unpacked(df.where(F.col("__draw") < F.col("__probability")), documents)
