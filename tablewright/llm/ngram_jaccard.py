@@ -1,18 +1,18 @@
 """N-gram Jaccard join by a token-group matrix: documents linked by alike sets of word shingles, as components.
 
-1. A document's set is its distinct shingles as 64-bit hashes. Documents of equal sets are one class.
-2. A set with a link can't hold more than a few shingles that no other class holds. A quarter of all shingles, the same
-   for every set, is counted to rule out most sets, then all shingles of the rest.
-3. Shingles are ordered, those found often last; a link needs a shingle in common among the first of either set, so only
-   those (the prefix) are shuffled, and of them only the ones that several classes hold are kept. Classes that hold the
-   same often-held shingle are similar; they are partitioned into groups of at most GROUP_DOCS classes and about
-   GROUP_SHINGLES shingles; groups that candidate pairs connect are then put together in larger blocks. The matrix holds which groups' prefixes have which shingle; two groups are
-   candidates if they have one in common and their sizes are near enough.
-4. For a pair of groups the union of each group's shingles bounds what a member of the other can have in common with any
-   of its members: first by prefixes alone, then, with what is left, by whole sets. Only where the bound allows a link is
-   the group opened and every pair of remaining members counted, by a matrix product. A pair of groups gives the edges
-   of a spanning forest, never all of its pairs.
-5. Components of the edges, and the smallest doc_id of each, come from repeated joins.
+1. A document's set is its distinct shingles as 64-bit hashes. Documents of equal sets, by their sizes and 128-bit
+   hashes, are one class.
+2. Shingles are ordered, those found often last; a link needs a shingle in common among the first of either set, so only
+   those (the prefix) are shuffled, and of them only the ones that several classes hold are kept.
+3. Classes with the same most widely held shingle are similar and form a group. Each is compared with its group's
+   leader, the class that shares the largest part of its prefix: one comparison a class, which links most copies.
+4. What is left are links between classes that aren't connected yet. Groups are split to at most about GROUP_DOCS
+   classes, those linked with their leader apart from the others. The matrix, which shingle is in which group's union,
+   is stored for shingles that unconnected classes hold. Joined with the prefixes of the classes it gives how many
+   shingles of a class are in a group's union, which bounds what it can have in common with any member. Only where that
+   and the sizes allow a link is the group opened and the class compared with each of its members; groups of classes
+   that all are connected with it are passed over.
+5. Components of the links, and the smallest doc_id of each, come from repeated joins.
 
 How often a shingle is found is counted over all documents, chunk by chunk: only shingles found twice in a chunk count,
 so that few rows are shuffled. The order affects speed alone, as any fixed order finds all links. The shingles that are
@@ -21,28 +21,25 @@ put last are sent to the executors whole; they are those of the highest counts,
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import Temporary, staged
+from .common import Keep, Temporary, bucket_of, buckets_of, packed, staged, unpacked
 
 WORDS = 4
 PERCENT = 85
+#: Classes in a group, about, and classes that one task compares with a group.
 GROUP_DOCS = 256
-BLOCK_DOCS = 384
+QUERY_DOCS = 1024
 GROUP_SHINGLES = 1_000_000
 CHUNK = 4_000_000
 MAX_HOT = 100_000
 COUNTED_TO = 4096
-COLUMNS = 4096
-BUCKETS = 2**20
-
-Keep = Callable[[DataFrame], DataFrame]
 
 _RNG = np.random.default_rng(20240501)
 _OF_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -87,9 +84,10 @@ def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
     return np.unique(mixed(runs).view(np.int64))
 
 
-def signature(tokens: np.ndarray) -> int:
-    """A hash of a set."""
-    return int(mixed(tokens.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64))
+def signatures(tokens: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set, together 128 bits."""
+    plain = tokens.view(np.uint64)
+    return tuple(int(mixed(plain ^ np.uint64(salt)).sum(dtype=np.uint64).astype(np.int64)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -119,7 +117,8 @@ def frequent(documents: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
                     held, size = [], 0
         yield flush()
 
-    counts = staged(documents.select(F.col("text").cast("string")).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    temporary = Temporary()
+    counts = temporary.staged(documents.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
     # The least count of those put last: the lowest that leaves at most MAX_HOT of them, or else they are the first MAX_HOT.
     capped = F.least("n", F.lit(COUNTED_TO)).alias("n")
     least, held = COUNTED_TO, 0
@@ -128,27 +127,11 @@ def frequent(documents: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             break
         least = n
     hot = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(MAX_HOT).toPandas()
+    temporary.release()
     order = np.argsort(hot["token"].to_numpy(dtype=np.int64))
     return hot["token"].to_numpy(dtype=np.int64)[order], hot["n"].to_numpy(dtype=np.int64)[order]
 
 
-def sampled(documents: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int) -> DataFrame:
-    """(doc_id, sig, n, sample): the set's signature and size, and those of a quarter of all shingles that it holds, but
-    for those that are put last, which are known to be shared."""
-    last = documents.sparkSession.sparkContext.broadcast(hot[0])
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [shingles(t, words) for t in batches_of(batch.column(1))]
-            some = [x[(x & 3) == 0] for x in own]
-            some = [x[~found_in(last.value, x)] for x in some]
-            columns = [batch.column(0), pa.array([signature(x) for x in own], pa.int64()), pa.array([len(x) for x in own], pa.int64()), lists_of(some)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sig", "n", "sample"])
-
-    df = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    return df.mapInArrow(sets, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, sig long, n long, sample array<long>")
-
-
 def found_in(ordered: np.ndarray, x: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(x), dtype=bool)
@@ -160,271 +143,222 @@ def lists_of(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*arrays, np.empty(0, dtype=np.int64)])))
 
 
-def candidates(classes: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Those of classes (sig, n, rep) that may have a link, by shingles (sig, token) of theirs: a set with one lacks at
-    most a fixed share of it in the other set, so no more of its shingles may be in no other class."""
-    alone = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held"), F.max("sig").alias("sig")).where("held = 1")
-    counts = alone.groupBy("sig").agg(F.count(F.lit(1)).alias("alone"))
-    may_lack = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    return classes.join(counts, "sig", "left").where(F.coalesce("alone", F.lit(0)) <= may_lack).select("sig", "n", "rep")
-
 
-def fetched(documents: DataFrame, wanted: DataFrame, words: int, name: str, make: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """wanted (with rep, sig, n) and what make gives of each set, as bytes; texts come from the rows of rep."""
-    columns = [*wanted.columns]
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [shingles(t, words) for t in batches_of(batch.column("text"))]
-            # A doc_id may have other texts too.
-            same = pa.array([signature(x) == s and len(x) == n for x, s, n in zip(own, batch.column("sig").to_pylist(), batch.column("n").to_pylist())], pa.bool_())
-            made = pa.array([make(x).tobytes() for x in own], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), made], names=[*columns, name]).filter(same)
-
-    # At most BUCKETS rows, whatever the corpus: keeps most documents out of the shuffle while few are wanted.
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).alias("bucket")
-    buckets = F.broadcast(wanted.select(bucket("rep")).distinct())
-    texts = documents.select(F.col("doc_id").alias("rep"), F.col("text").cast("string").alias("text"), bucket("doc_id")).join(buckets, "bucket", "left_semi").drop("bucket")
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields)
-    # Merged at every size: wanted grows with the corpus, so a broadcast would only ever serve small ones.
-    return texts.join(wanted.hint("merge"), "rep").mapInArrow(sets, f"{types}, {name} binary")
-
-
-def rare_tokens(documents: DataFrame, wanted: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int) -> DataFrame:
-    """(sig, token): the shingles of each wanted set but for those that are put last, which are known to be shared."""
-    last = documents.sparkSession.sparkContext.broadcast(hot[0])
-    sets = fetched(documents, wanted, words, "prefix", lambda x: x[~found_in(last.value, x)])
-    return sets.dropDuplicates(["sig", "n"]).select("sig", "prefix").mapInArrow(numbers, "sig long, place long, token long").select("sig", "token")
-
-
-def prefixes(documents: DataFrame, wanted: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
-    """wanted with prefix, the first shingles of each set in order, as bytes and as an array."""
+def sets_of(documents: DataFrame, hot: tuple[np.ndarray, np.ndarray], words: int, percent: int) -> DataFrame:
+    """(doc_id, a, b, n, prefix): the hashes and the size of each document's set, and its first shingles in order."""
     last = documents.sparkSession.sparkContext.broadcast(hot)
 
     def first(tokens: np.ndarray) -> np.ndarray:
+        size = prefix_size(len(tokens), percent)
         late = found_in(last.value[0], tokens)
         if late.any():
             counts = last.value[1][np.searchsorted(last.value[0], tokens[late])]
             tokens = np.concatenate((tokens[~late], tokens[late][np.argsort(counts, kind="stable")]))
-        return tokens[: prefix_size(len(tokens), percent)]
-
-    return fetched(documents, wanted, words, "prefix", first)
-
-
-def numbers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, place, token) of prefixes given as bytes."""
-    for batch in batches:
-        own = [np.frombuffer(x, dtype=np.int64) for x in batch.column("prefix").to_pylist()]
-        n = np.array([len(x) for x in own], dtype=np.int64)
-        place = np.concatenate([*(np.arange(k) for k in n), np.empty(0, dtype=np.int64)])
-        columns = [np.repeat(batch.column("sig").to_numpy(), n), place, np.concatenate([*own, np.empty(0, dtype=np.int64)])]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["sig", "place", "token"])
-
-
-def groups_of(classes: DataFrame, keep: Keep = staged) -> tuple[DataFrame, DataFrame]:
-    """Members (sig, n, rep, gid) of all groups, and pairs (a, b) of groups to compare, a before b."""
-    postings = classes.select("sig", "prefix").mapInArrow(numbers, "sig long, place long, token long")
-    shared = keep(postings.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("held > 1").select("sig", "token", "held"))
-    # The shingle that most of the others have too: members of one large group of near copies rarely differ in it.
-    keyed = shared.groupBy("sig").agg(F.max(F.struct("held", "token")).alias("most")).select("sig", F.col("most.token").alias("key"))
-    near = Window.partitionBy("key").orderBy("n", "sig")
-    size = F.sum("n").over(near.rowsBetween(Window.unboundedPreceding, 0))
-    gid = F.xxhash64("key", F.floor((F.row_number().over(near) - 1) / GROUP_DOCS), F.floor(size / GROUP_SHINGLES))
-    members = keep(classes.select("sig", "n", "rep").join(keyed, "sig").select("sig", "n", "rep", gid.alias("gid")))
-    matrix = shared.join(members.select("sig", "gid"), "sig").select("token", "gid").distinct()
-    rows = matrix.groupBy("token").agg(F.collect_set("gid").alias("gids")).where(F.size("gids") > 1)
-    others = matrix.join(rows, "token").groupBy("gid").agg(F.collect_set(F.array_sort("gids")).alias("gids"))
-    pairs = others.select(F.col("gid").alias("a"), F.explode(F.array_distinct(F.filter(F.flatten("gids"), lambda g: g > F.col("gid")))).alias("b"))
-    return packed(members, keep(pairs), keep)
-
-
-def packed(members: DataFrame, pairs: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
-    """Groups that candidate pairs connect, put together in blocks of at most BLOCK_DOCS classes, and the pairs of blocks.
-
-    The many small groups beside a large one of near copies would else each be compared with it apart.
-    """
-    roots = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")), keep)
-    placed = members.join(roots, F.col("gid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "gid"))
-    order = Window.partitionBy("root").orderBy("gid", "n", "sig")
-    size = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    block = F.xxhash64("root", F.floor((F.row_number().over(order) - 1) / BLOCK_DOCS), F.floor(size / GROUP_SHINGLES))
-    blocks = keep(placed.withColumn("block", block).select("sig", "n", "rep", "gid", "block"))
-    held = blocks.select("gid", "block").distinct()
-    side = lambda x: held.select(F.col("gid").alias(x), F.col("block").alias(f"block_{x}"))
-    # A group that two blocks share is a pair of them as well.
-    apart = pairs.select("a", "b").unionByName(held.select(F.col("gid").alias("a"), F.col("gid").alias("b")).distinct())
-    between = apart.join(side("a"), "a").join(side("b"), "b").where("block_a <> block_b")
-    between = between.select(F.least("block_a", "block_b").alias("a"), F.greatest("block_a", "block_b").alias("b")).distinct()
-    return blocks.select("sig", "n", "rep", F.col("block").alias("gid")), between
-
-
-def streamed(batches: Iterable[pa.RecordBatch], value: str) -> Iterator[tuple[tuple[int, int], list[tuple]]]:
-    """The rows of each pair (a, b) of groups, from batches sorted by it: (in a, rep, sig, n, array of value)."""
-    now, held = None, {}
-    for batch in batches:
-        for a, b, gid, rep, sig, n, data in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "gid", "rep", "sig", "n", value))):
-            if (a, b) != now:
-                if held:
-                    yield now, list(held.values())
-                now, held = (a, b), {}
-            held[sig] = (gid == a, rep, sig, n, np.frombuffer(data, dtype=np.int64))
-    if held:
-        yield now, list(held.values())
-
-
-def dealt(pairs: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
-    """Each pair with the rows of both of its groups, its rows in one place."""
-    both = pairs.withColumn("gid", F.explode(F.array_distinct(F.array("a", "b"))))
-    both = both.join(rows, "gid") if on == ["gid"] else both.withColumn("sig", F.explode("sigs")).drop("sigs").join(rows, on)
-    return both.repartition("a", "b").sortWithinPartitions("a", "b")
-
-
-def needed(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    """How much sets of n and m elements must have in common for a link."""
-    return -(-percent * (n + m) // (100 + percent))
-
-
-def opened(rows: list[tuple], one_group: bool, percent: int) -> list[int]:
-    """sigs of the members that may have a link in the other group (or their own), by what prefixes tell.
+        return tokens[:size]
+
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingles(t, words) for t in batches_of(batch.column(1))]
+            hashes = [signatures(x) for x in own]
+            numbers = [pa.array(x, pa.int64()) for x in ([h[0] for h in hashes], [h[1] for h in hashes], [len(x) for x in own])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, lists_of([first(x) for x in own])], names=["doc_id", "a", "b", "n", "prefix"])
+
+    return documents.mapInArrow(sets, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, a long, b long, n long, prefix array<long>")
+
+
+def classes_of(docs: DataFrame) -> DataFrame:
+    """(c, rep, a, b, n, prefix): a row for each set with its smallest doc_id, numbered by c once it is written."""
+    own = docs.where("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
+    return own.select(F.monotonically_increasing_id().alias("c"), "rep", "a", "b", "n", "prefix")
+
+
+def shared_of(classes: DataFrame) -> DataFrame:
+    """(c, rep, a, b, n, tokens, key): classes that share shingles of their prefixes, those shingles, and the most widely held one."""
+    postings = classes.select("c", F.explode("prefix").alias("token"))
+    several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    # Merged at every size: both sides grow with the corpus.
+    own = postings.join(several.hint("merge"), "token").groupBy("c").agg(F.collect_list(F.struct("held", "token")).alias("tokens"))
+    tokens = F.transform("tokens", lambda x: x["token"])
+    return classes.drop("prefix").join(own.hint("merge"), "c").select("c", "rep", "a", "b", "n", tokens.alias("tokens"), F.array_max("tokens")["token"].alias("key"))
+
+
+def in_common(n: Column, m: Column, percent: int) -> Column:
+    """How many shingles the prefixes of linked sets of n and m have in common at least.
 
     Of two linked sets, the prefix that ends earlier in the order of shingles lacks no more in the other prefix than its
-    set may lack; so a pair is out only if both prefixes lack more. For a whole group, the union of its prefixes stands
-    for each member's.
+    set may lack. As a real number without rounding, so at most the least whole one; for a range of m it is least at one
+    of the ends.
     """
-    sides = [rows, rows] if one_group else [[r for r in rows if r[0] is s] for s in (True, False)]
-    n, first = [np.array([r[3] for r in side]) for side in sides], [np.array([len(r[4]) for r in side]) for side in sides]
-    for k in (0, 1) if not one_group else ():
-        if not sides[0] or not sides[1]:
-            return []
-        union = np.unique(np.concatenate([r[4] for r in sides[1 - k]]))
-        bound = np.array([np.isin(r[4], union).sum() for r in sides[k]])[:, None]
-        alpha = needed(n[k][:, None], n[1 - k][None, :], percent)
-        may = (first[k][:, None] - bound <= n[k][:, None] - alpha) | (first[1 - k][None, :] - bound <= n[1 - k][None, :] - alpha)
-        keep = may.any(axis=1)
-        sides[k] = [r for r, own in zip(sides[k], keep) if own]
-        n[k], first[k] = n[k][keep], first[k][keep]
-    if not sides[0] or not sides[1]:
-        return []
-    both = sides[0] if one_group else sides[0] + sides[1]
-    common = overlaps([r[4] for r in both], np.array([len(r[4]) for r in both]))
-    if one_group:
-        np.fill_diagonal(common, 0)
-    else:
-        common = common[: len(sides[0]), len(sides[0]) :]
-    alpha = needed(n[0][:, None], n[1][None, :], percent)
-    may = (common > 0) & (alpha <= np.minimum(n[0][:, None], n[1][None, :]))
-    may &= (first[0][:, None] - common <= n[0][:, None] - alpha) | (first[1][None, :] - common <= n[1][None, :] - alpha)
-    if one_group:
-        np.fill_diagonal(may, False)
-        return [r[2] for r, own in zip(both, may.any(axis=1)) if own]
-    return [r[2] for r, own in zip(both, np.concatenate((may.any(axis=1), may.any(axis=0)))) if own]
-
-
-def edges_between(members: DataFrame, pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int, percent: int, keep: Keep = staged) -> DataFrame:
-    """(u, v): edges between representatives that connect just those that links connect within each pair of groups."""
-    sizes = members.groupBy("gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("docs"))
-    side = lambda x: sizes.select(F.col("gid").alias(x), F.col("least").alias(f"least_{x}"), F.col("most").alias(f"most_{x}"))
-    fit = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * most_a >= {percent} * least_b AND 100 * most_b >= {percent} * least_a").select("a", "b")
-    alone = sizes.where("docs > 1").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    rep = documents.schema["doc_id"].dataType.simpleString()
-
-    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (a, b), rows in streamed(batches, "prefix"):
-            if sigs := opened(rows, a == b, percent):
-                yield pa.RecordBatch.from_arrays([pa.array([a], pa.int64()), pa.array([b], pa.int64()), pa.array([sigs], pa.list_(pa.int64()))], names=["a", "b", "sigs"])
-
-    own = members.join(classes.select("sig", "prefix"), "sig").select("gid", "rep", "sig", "n", "prefix")
-    chosen = keep(dealt(fit.unionByName(alone), own, ["gid"]).mapInArrow(choose, "a long, b long, sigs array<long>"))
-    sigs = chosen.select(F.explode("sigs").alias("sig")).distinct()
-    wanted = keep(members.join(sigs, "sig", "left_semi").select("rep", "gid", "sig", "n"))
-    sets = keep(fetched(documents, wanted, words, "tokens", lambda x: x))
+    return (n + m) * percent / (100.0 + percent) - F.greatest(n, m) * percent / 100.0
+
+
+def star_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """Each class with its group's leader (l_c, l_rep, ...), where a link is possible."""
+    part = F.size("tokens") / F.col("n")
+    leaders = shared.groupBy("key").agg(F.max(F.struct(part.alias("part"), "c", "rep", "a", "b", "n", F.size("tokens").alias("held"))).alias("l"))
+    both = shared.join(leaders, "key").where("c <> l.c").where(f"100 * n >= {percent} * l.n AND 100 * l.n >= {percent} * n")
+    enough = F.least(F.size("tokens"), F.col("l.held")) >= in_common(F.col("n"), F.col("l.n"), percent)
+    return both.where(enough).select("c", "rep", "a", "b", "n", *[F.col(f"l.{x}").alias(f"l_{x}") for x in ("c", "rep", "a", "b", "n")])
+
+
+def texts_of(documents: DataFrame, wanted: DataFrame, rep: str = "rep") -> DataFrame:
+    """(rep, text) of the documents that are wanted, and of others in the same buckets."""
+    some = documents.select(F.col("doc_id").alias(rep), "text").withColumn("__bucket", bucket_of(rep))
+    # Keeps most documents out of the shuffle while few are wanted.
+    return some.join(buckets_of(wanted, rep), "__bucket", "left_semi").drop("__bucket")
+
+
+def linked(documents: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(c, u, v): the pairs of star_pairs() that are linked, and their representatives."""
+    kind = documents.schema["doc_id"].dataType
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (a, b), rows in streamed(batches, "tokens"):
-            if found := list(spanning(rows, a == b, percent)):
-                yield pa.RecordBatch.from_pydict({"u": [x[0] for x in found], "v": [x[1] for x in found]}, schema=edge)
-
-    edge = pa.schema([("u", to_arrow_type(documents.schema["doc_id"].dataType)), ("v", to_arrow_type(documents.schema["doc_id"].dataType))])
-    return dealt(chosen, sets, ["gid", "sig"]).mapInArrow(compare, f"u {rep}, v {rep}")
-
-
-def spanning(rows: list[tuple], one_group: bool, percent: int) -> Iterator[tuple]:
-    """Edges (u, v) of a forest over rows of streamed() that links within or between groups connect."""
-    if not one_group:
-        first, second = ([r for r in rows if r[0] is s] for s in (True, False))
-        if not first or not second:
-            return
-        first, second = qualifying(first, second, percent), qualifying(second, first, percent)
-        rows = first + second if first and second else []
-    if len(rows) < 2:
-        return
-    sizes = np.array([r[3] for r in rows])
-    common = overlaps([r[4] for r in rows], sizes)
-    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
-    if not one_group:
-        side = np.array([r[0] for r in rows])
-        linked &= side[:, None] != side[None, :]
-    np.fill_diagonal(linked, True)
-    labels = np.arange(len(rows))
-    while True:
-        least = np.where(linked, labels[None, :], len(rows)).min(axis=1)
-        least = least[least]
-        if (least == labels).all():
-            break
-        labels = least
-    for k, label in enumerate(labels):
-        if label != k and rows[k][1] != rows[label][1]:
-            yield rows[k][1], rows[label][1]
-
-
-def qualifying(queries: list[tuple], group: list[tuple], percent: int) -> list[tuple]:
-    """Those queries whose overlap with the union of the group's sets allows a link to one of its members."""
-    union = np.unique(np.concatenate([g[4] for g in group]))
-    least = min(g[3] for g in group)
-    bound = lambda q: int(np.isin(q[4], union, assume_unique=True).sum())
-    return [q for q in queries if bound(q) >= max(needed(q[3], least, percent), -(-percent * q[3] // 100))]
-
-
-def overlaps(sets: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
-    """How many elements each two sets have in common: products of membership matrices, some columns at a time."""
-    flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    tokens, column, n = np.unique(flat, return_inverse=True, return_counts=True)
-    several = n > 1
-    place = np.cumsum(several) - 1
-    keep = several[column]
-    column, of = place[column[keep]], of[keep]
-    common = np.zeros((len(sets), len(sets)), dtype=np.int64)
-    order = np.argsort(column, kind="stable")
-    column, of = column[order], of[order]
-    for begin in range(0, int(several.sum()), COLUMNS):
-        a, b = np.searchsorted(column, (begin, begin + COLUMNS))
-        held = np.zeros((len(sets), min(COLUMNS, int(several.sum()) - begin)), dtype=np.float32)
-        held[of[a:b], column[a:b] - begin] = 1
-        common += (held @ held.T).astype(np.int64)
-    np.fill_diagonal(common, sizes)
-    return common
-
-
-def components(edges: DataFrame, step: Keep = staged) -> DataFrame:
+        known, leader = None, None
+        for batch in batches:
+            keep = []
+            for a, b, l_a, l_b, text, l_text in zip(*(batch.column(x).to_pylist() for x in ("a", "b", "l_a", "l_b")), batches_of(batch.column("text")), batches_of(batch.column("l_text"))):
+                if known != l_text:
+                    known, leader = l_text, shingles(l_text, words)
+                own = shingles(text, words)
+                # A doc_id may have other texts too.
+                right = signatures(own) == (a, b) and signatures(leader) == (l_a, l_b)
+                common = int(found_in(leader, own).sum()) if right else 0
+                keep.append(right and 100 * common >= percent * (len(own) + len(leader) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(x) for x in ("c", "rep", "l_rep")], names=["c", "u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    # Merged at every size: pairs grow with the corpus, so a broadcast would only ever serve small ones.
+    own = texts_of(documents, pairs).join(pairs.hint("merge"), "rep")
+    leaders = texts_of(documents, pairs.select("l_rep").distinct(), "l_rep").withColumnRenamed("text", "l_text")
+    return own.join(leaders.hint("merge"), "l_rep").mapInArrow(compare, f"c long, u {kind.simpleString()}, v {kind.simpleString()}")
+
+
+def grouped(shared: DataFrame, stars: DataFrame, roots: DataFrame) -> DataFrame:
+    """shared with comp, the component so far, and gid: its group, of at most about GROUP_DOCS classes."""
+    df = shared.join(roots, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")
+    df = df.join(stars.select("c", F.lit(True).alias("linked")), "c", "left").fillna(False, ["linked"])
+    df = df.withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.1))))
+    sizes = df.groupBy("key", "linked", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_DOCS), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("parts"))
+    df = df.join(sizes.where("parts > 1"), ["key", "linked", "band"], "left")
+    part = F.pmod(F.xxhash64("c"), F.coalesce("parts", F.lit(1)))
+    return df.select("c", "rep", "a", "b", "n", "tokens", "comp", F.xxhash64("key", "linked", "band", part).alias("gid"))
+
+
+def matrix_of(members: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
+    """Postings (token, c, comp, gid) of shingles that classes of several components hold, and the matrix (token, gid)."""
+    postings = members.select("c", "comp", "gid", F.explode("tokens").alias("token"))
+    several = postings.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
+    postings = keep(postings.join(several.hint("merge"), "token"))
+    return postings, keep(postings.select("token", "gid").distinct())
+
+
+def qualifying(members: DataFrame, keep: Keep, percent: int) -> DataFrame:
+    """(c, gid): classes and the groups that may have a member that is linked with them but not connected yet."""
+    postings, matrix = matrix_of(members, keep)
+    groups = members.groupBy("gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("first"))
+    bounds = postings.select("token", "c").join(matrix, "token").groupBy("c", "gid").agg(F.count(F.lit(1)).alias("common"))
+    df = bounds.join(members.select("c", "n", "comp"), "c").join(groups, "gid")
+    n, low, high = F.col("n"), F.greatest("least", F.col("n") * percent / 100.0), F.least("most", F.col("n") * 100.0 / percent)
+    enough = F.col("common") >= F.least(in_common(n, low, percent), in_common(n, high, percent)) - 1e-6
+    # Of two classes that are linked the one of the larger component asks.
+    return df.where((F.col("first") < F.col("comp")) & (low <= high) & enough).select("c", "gid")
+
+
+class Group:
+    """Sets of a group's members, by shingle."""
+
+    def __init__(self, members: list[tuple]):
+        self.reps, self.comps = [m[0] for m in members], [m[1] for m in members]
+        self.sizes = np.array([len(m[2]) for m in members])
+        flat, of = np.concatenate([m[2] for m in members]), np.repeat(np.arange(len(members)), self.sizes)
+        order = np.argsort(flat, kind="stable")
+        self.owners = of[order]
+        self.union, self.starts = np.unique(flat[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(flat))
+
+    def common(self, tokens: np.ndarray) -> np.ndarray:
+        """How many of tokens each member holds."""
+        at = np.searchsorted(self.union, tokens[found_in(self.union, tokens)])
+        n = self.ends[at] - self.starts[at]
+        places = np.arange(n.sum()) + np.repeat(self.starts[at] - np.concatenate(([0], np.cumsum(n)[:-1])), n) if len(at) else np.empty(0, dtype=np.int64)
+        return np.bincount(self.owners[places], minlength=len(self.reps))
+
+    def linked(self, tokens: np.ndarray, comp: object, percent: int) -> Iterator[object]:
+        """One linked member of each other component."""
+        common = self.common(tokens)
+        seen = {comp}
+        for k in np.flatnonzero(100 * common >= percent * (len(tokens) + self.sizes - common)):
+            if self.comps[k] not in seen:
+                seen.add(self.comps[k])
+                yield self.reps[k]
+
+
+def opened(documents: DataFrame, pairs: DataFrame, members: DataFrame, words: int, percent: int, keep: Keep) -> DataFrame:
+    """(u, v): a link of each class of pairs (c, gid) to each component that the group's members link it with.
+
+    A group that many classes ask for is copied for every QUERY_DOCS of them, so no task has more at once.
+    """
+    kind = documents.schema["doc_id"].dataType
+    edge = pa.schema([("u", to_arrow_type(kind)), ("v", to_arrow_type(kind))])
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, group = None, [], None
+        for batch in batches:
+            found = []
+            for gid, part, asks, rep, comp, a, b, text in zip(*(batch.column(x).to_pylist() for x in ("gid", "part", "asks", "rep", "comp", "a", "b")), batches_of(batch.column("text"))):
+                if (gid, part) != now:
+                    now, held, group = (gid, part), [], None
+                own = shingles(text, words)
+                if signatures(own) != (a, b):
+                    continue
+                if not asks:
+                    held.append((rep, comp, own))
+                elif held:
+                    group = group or Group(held)
+                    found += [(rep, other) for other in group.linked(own, comp, percent)]
+            yield pa.RecordBatch.from_pydict({"u": [x[0] for x in found], "v": [x[1] for x in found]}, schema=edge)
+
+    sizes = pairs.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / QUERY_DOCS).alias("parts"))
+    queries = pairs.join(sizes, "gid").select("gid", F.pmod(F.xxhash64("c"), "parts").alias("part"), "c", F.lit(True).alias("asks"))
+    own = sizes.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(members.select("gid", "c"), "gid")
+    rows = queries.unionByName(own.select("gid", "part", "c", F.lit(False).alias("asks")))
+    rows = keep(rows.join(members.select("c", "rep", "comp", "a", "b"), "c"))
+    rows = texts_of(documents, rows).join(rows.hint("merge"), "rep")
+    return rows.repartition("gid", "part").sortWithinPartitions("gid", "part", "asks").mapInArrow(compare, f"u {kind.simpleString()}, v {kind.simpleString()}")
+
+
+def components(edges: DataFrame, keep: Keep = staged) -> DataFrame:
     """(node, root): every node of the edges (u, v) with the smallest node that it can reach.
 
     Alternates two joins until nothing changes: each node's larger neighbours are hung on its smallest one, then its
     smaller ones too. No node's neighbours are gathered in one place.
     """
-    now, before = step(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()), None
-    while True:
+    state_of = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first())
+    old = Temporary()
+    now = old.staged(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    before, state = None, state_of(now)
+    while state != before:
+        new = Temporary()
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = step(large)
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = step(small.union(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first())
-        if state == before:
-            break
-        before = state
-    return now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
+        now = new.staged(small.union(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        before, state = state, state_of(now)
+        old.release()
+        old = new
+    out = keep(now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root"))
+    old.release()
+    return out
+
+
+def links(documents: DataFrame, classes: DataFrame, words: int, percent: int, keep: Keep) -> DataFrame:
+    """(u, v): links between representatives that connect just what all links connect."""
+    shared = keep(shared_of(classes))
+    stars = keep(linked(documents, keep(star_pairs(shared, percent)), words, percent))
+    members = keep(grouped(shared, stars, components(stars.select("u", "v"), keep)))
+    pairs = keep(qualifying(members, keep, percent))
+    return stars.select("u", "v").unionByName(keep(opened(documents, pairs, members, words, percent, keep)))
 
 
 def ngram_jaccard(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -434,24 +368,17 @@ def ngram_jaccard(documents: DataFrame, words: int = WORDS, percent: int = PERCE
     document: it has the links of each of its texts, and they share a component. A null doc_id is never a component_id;
     its row has the smallest doc_id among the others that hold the same set, else null. Other columns are ignored.
     """
-    hot = frequent(documents, words)
-    docs = staged(sampled(documents, hot, words))
-    classes = docs.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
+    documents = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     temporary = Temporary()
-    own = docs.where("n > 0 AND doc_id IS NOT NULL")
-    sample = own.groupBy("sig", "n").agg(F.first("sample").alias("sample")).select("sig", F.explode("sample").alias("token"))
-    likely = temporary.staged(candidates(classes, sample, percent))
-    likely = temporary.staged(candidates(likely, rare_tokens(documents, likely, hot, words), percent))
-    first = temporary.staged(prefixes(documents, likely, hot, words, percent).dropDuplicates(["sig", "n"]))
-    members, pairs = groups_of(first, temporary.staged)
-    edges = staged(edges_between(members, pairs, first, documents, words, percent, temporary.staged))
-    temporary.release()
-    placed = docs.select("doc_id", "sig", "n").join(classes.select("sig", "n", "rep"), ["sig", "n"], "left")
-    several = placed.where("rep IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v"), F.count(F.lit(1)).alias("rows")).where("u <> v")
+    docs = temporary.staged(sets_of(documents, frequent(documents, words), words, percent))
+    classes = temporary.staged(classes_of(docs))
+    edges = links(documents, classes, words, percent, temporary.staged)
+    placed = docs.select("doc_id", "a", "b", "n").join(classes.select("a", "b", "n", "rep"), ["a", "b", "n"], "left")
+    several = placed.where("rep IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).where("u <> v")
     joined = placed.join(several.select("doc_id", "u"), "doc_id").select("u", F.col("rep").alias("v"))
-    roots = components(edges.union(joined))
+    roots = components(edges.union(joined), temporary.staged)
     out = placed.join(roots, F.col("rep") == F.col("node"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "doc_id").alias("component_id"))
+    return temporary.last(out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "doc_id").alias("component_id")))
 
 
 def distinct_documents(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -459,9 +386,14 @@ def distinct_documents(documents: DataFrame, words: int = WORDS, percent: int =
 
     Rows with a null doc_id can't be named as copies and stay, as do all documents without words.
     """
-    found = staged(ngram_jaccard(documents, words, percent))
-    first = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = documents.join(first.select("doc_id"), "doc_id", "left_semi")
-    if first.where("rows > 1").limit(1).count():  # only then are rows of the same doc_id copies to drop
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(documents.where("doc_id IS NULL")).select(*documents.columns)
+    found = ngram_jaccard(documents, words, percent).where("doc_id IS NOT NULL")
+    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    # Documents that share no bucket with a copy or a repeated doc_id don't meet the others.
+    concerned = buckets_of(copies.unionByName(repeated.select("doc_id")), "doc_id")
+    df = packed(documents, bucket_of("doc_id").alias("__bucket"))
+    near = df.join(concerned, "__bucket", "left_semi").where("doc_id IS NOT NULL").join(copies.hint("merge"), "doc_id", "left_anti")
+    if repeated.limit(1).count():  # only then are rows of the same doc_id copies to drop
+        near = near.dropDuplicates(["doc_id"])
+    apart = df.join(concerned, "__bucket", "left_anti").unionByName(df.where("doc_id IS NULL").join(concerned, "__bucket", "left_semi"))
+    return unpacked(near.unionByName(apart), documents)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from .quality_rules import COMMON_WORDS, FLOWING, OTHERS
+from .quality_rules import FLOWING, N_COMMON, OTHERS
 from .secret_scan import KINDS
-from .source_mixing import ROUNDS
+
+#: More than enough for the shares of the test tables to stand.
+ROUNDS = 40
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -14,8 +16,6 @@ def quality_rules_sql(min_words: int = 60, min_chars: int = 200, max_word: float
     last = len(OTHERS)
     space = "(length(txt) - length(array_to_string(words, '')))"
     counts = ", ".join([space, f"length(txt) - {space} - length(left0)"] + [f"length(left{k}) - length(left{k + 1})" for k in range(last)] + [f"length(left{last})"])
-    n_bins = max(len(x.split()) for x in COMMON_WORDS.values()) + 1
-    lists = ", ".join(f"('{tag}', string_split('{listed}', ' '))" for tag, listed in COMMON_WORDS.items())
 
     def js(p: str, q: str) -> str:
         a, b = f"({p}[k] / list_sum({p}))", f"({q}[k] / list_sum({q}))"
@@ -25,7 +25,10 @@ def quality_rules_sql(min_words: int = 60, min_chars: int = 200, max_word: float
     return f"""
 WITH l0 AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS txt, regexp_replace(coalesce(text, ''), '{FLOWING}', '', 'g') AS left0, {WORDS} AS words FROM documents)
 {left}
-, common AS (SELECT * FROM (VALUES {lists}) t(lang, common))
+, common AS (
+  SELECT lang, list(w ORDER BY n DESC, w) AS common FROM (
+    SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(words) AS w FROM l0 WHERE lang IS NOT NULL) GROUP BY lang, w
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) <= {N_COMMON}) GROUP BY lang)
 , d AS (
   SELECT rid, doc_id, lang, txt, words, len(words) AS n_words, [{counts}] AS classes,
     list_filter(string_split(txt, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM l{last})
@@ -37,7 +40,7 @@ WITH l0 AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '')
   SELECT hits.*, coalesce(rep.n, 0) AS n_repeat, n_words < 10 OR 100 * coalesce(rep.n, 0) > 20 * n_words AS base_failed,
     CASE WHEN common IS NOT NULL THEN list_append(hit, n_words - list_sum(hit)) END AS word_own FROM hits LEFT JOIN rep USING (rid))
 , ref AS (
-  SELECT lang, [{', '.join(f'sum(coalesce(word_own[{k + 1}], 0))' for k in range(n_bins))}] AS word_ref, [{', '.join(f'sum(classes[{k + 1}])' for k in range(last + 3))}] AS class_ref
+  SELECT lang, list_filter([{', '.join(f'sum(word_own[{k + 1}])' for k in range(N_COMMON + 1))}], lambda x: x IS NOT NULL) AS word_ref, [{', '.join(f'sum(classes[{k + 1}])' for k in range(last + 3))}] AS class_ref
   FROM b WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang)
 , dist AS (
   SELECT *, CASE WHEN n_words >= {min_words} THEN {js('word_own', 'word_ref')} END AS word_distance, CASE WHEN length(txt) >= {min_chars} THEN {js('classes', 'class_ref')} END AS class_distance FROM b LEFT JOIN ref USING (lang))
@@ -109,7 +112,7 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, ''
   FROM (SELECT rid, rank, least, unnest(pieces[:len(ms)]) AS piece, unnest(ms) AS m, unnest(vs) AS v, unnest(range(len(ms))) AS k FROM found))
 , spans AS (SELECT rid, rank, s, s + n AS e, v FROM each WHERE length(v) >= least AND (rank < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]'))))
 , kept AS (SELECT * FROM spans a WHERE rank < 3 OR NOT EXISTS (SELECT 1 FROM spans b WHERE b.rid = a.rid AND b.rank < 3 AND b.s < a.e AND a.s < b.e))
-, freq AS (SELECT v, count(DISTINCT coalesce(source, '')) <= {live_owners} AND count(DISTINCT coalesce(doc_id::VARCHAR, '')) <= {live_repositories} AS live FROM kept JOIN d USING (rid) GROUP BY v)
+, freq AS (SELECT v, count(DISTINCT coalesce(source, '')) <= {live_owners} AND count(DISTINCT md5(text)) <= {live_repositories} AS live FROM kept JOIN d USING (rid) GROUP BY v)
 , agg AS (
   SELECT rid, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
     string_agg({label}, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg({label}, ',' ORDER BY s, rank) FILTER (rank < 3 OR live) AS spans,
@@ -119,14 +122,14 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM d LEFT JOIN agg USING (rid)"""
 
 
-def line_dedup_sql(min_chars: int = 12) -> str:
+def line_dedup_sql() -> str:
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents)
 , l AS (
   SELECT rid, doc_id, k - 1 AS line_no, lower(trim(regexp_replace(ls[k], '[\x20\x09-\x0D]{{2,}}|[\x09-\x0D]', ' ', 'g'), ' ')) AS plain
   FROM (SELECT rid, doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM docs WHERE doc_id IS NOT NULL AND text IS NOT NULL))
 , f AS MATERIALIZED (SELECT plain, length(plain) AS n, min((doc_id, line_no)) AS first FROM l WHERE plain <> '' GROUP BY plain)
-, long AS MATERIALIZED (SELECT *, plain[:n // 2] AS h0, plain[:(n - 1) // 2] AS h1, plain[n // 2 + 1:] AS t0, plain[(n - 1) // 2 + 2:] AS t1 FROM f WHERE n >= {min_chars})
+, long AS MATERIALIZED (SELECT *, plain[:n // 2] AS h0, plain[:(n - 1) // 2] AS h1, plain[n // 2 + 1:] AS t0, plain[(n - 1) // 2 + 2:] AS t1 FROM f)
 , cand AS (
   SELECT x.plain, y.plain AS against FROM long x JOIN long y ON x.h0 = y.h0 WHERE x.n = y.n AND x.first > y.first
   UNION ALL SELECT x.plain, y.plain FROM long x JOIN long y ON x.t0 = y.t0 WHERE x.n = y.n AND x.first > y.first

@@ -36,13 +36,13 @@ def plain(line):
     return re.sub(r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ", line).strip(" ").lower()
 
 
-def brute_lines(rows, least=12):
+def brute_lines(rows):
     at = [((i, k), plain(x)) for i, t in rows if i is not None and t is not None for k, x in enumerate(t.split("\n")) if plain(x)]
     first = {}
     for place, p in at:
         first[p] = min(first.get(p, place), place)
     forms = list(first)
-    near = {p for p in forms if len(p) >= least and any(q != p and len(q) >= least and first[q] < first[p] and apart(p, q) for q in forms)}
+    near = {p for p in forms if any(q != p and first[q] < first[p] and apart(p, q) for q in forms)}
     out = []
     for i, t in rows:
         lines = t.split("\n") if t is not None else []
@@ -62,7 +62,7 @@ def edited(rng, line):
 
 def test_line_dedup_finds_all_single_edits(spark):
     rng = random.Random(1)
-    bases = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(8, 60))) for _ in range(25)]
+    bases = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(1, 60))) for _ in range(25)]
     pool = [x for b in bases for x in [b, *(edited(rng, b) for _ in range(6)), edited(rng, edited(rng, b))]]
     rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 6)))) for i in range(90)]
     expected = brute_lines(rows)
@@ -82,6 +82,13 @@ def test_line_dedup_odd(spark):
     assert deduplicated(empty(spark)).count() == 0
 
 
+def test_line_dedup_of_short_lines_and_string_ids(spark):
+    rng = random.Random(8)
+    rows = [(f"d{i}", "\n".join("".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 6))) for _ in range(3))) for i in range(60)]
+    out = line_dedup(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert Counter(map(tuple, out.collect())) == brute_lines(rows)
+
+
 def test_line_dedup_of_one_line_in_all_documents(spark):
     rows = [(i, f"a line that all documents share\nand line number {'x' * i} of its own") for i in range(60)]
     assert Counter(map(tuple, line_dedup(documents(spark, rows)).collect())) == brute_lines(rows)
@@ -127,20 +134,44 @@ def near_copies(rng, groups=12, copies=12, size=80):
     return rows
 
 
-@pytest.mark.parametrize("group", [N.GROUP_DOCS, 3])
-def test_components_are_those_of_brute_force(spark, monkeypatch, group):
+@pytest.mark.parametrize("group,queries", [(N.GROUP_DOCS, N.QUERY_DOCS), (3, 2)])
+def test_components_are_those_of_brute_force(spark, monkeypatch, group, queries):
     monkeypatch.setattr(N, "GROUP_DOCS", group)
-    monkeypatch.setattr(N, "BLOCK_DOCS", 2 * group + 1)
+    monkeypatch.setattr(N, "QUERY_DOCS", queries)
     rows = near_copies(random.Random(2))
     assert Counter(map(tuple, N.ngram_jaccard(documents(spark, rows)).collect())) == brute_components(rows)
 
 
-def test_other_sizes_of_shingles(spark, monkeypatch):
-    monkeypatch.setattr(N, "COLUMNS", 7)
+@pytest.mark.parametrize("seed", range(3))
+def test_groups_are_opened_where_leaders_link_nothing(spark, monkeypatch, seed):
+    """Chains of slowly changing texts: most links are between classes that their leader isn't linked with."""
+    monkeypatch.setattr(N, "GROUP_DOCS", 4)
+    rng = random.Random(seed)
+    rows = []
+    for g in range(6):
+        w = [f"g{g}w{k}" for k in range(rng.randint(30, 90))]
+        for _ in range(14):
+            w = list(w)
+            w[rng.randrange(len(w))] = f"n{rng.random()}"
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    expected = brute_components(rows)
+    assert 6 <= len({x[2] for x in expected}) < 60
+    assert Counter(map(tuple, N.ngram_jaccard(documents(spark, rows)).collect())) == expected
+
+
+def test_other_sizes_of_shingles(spark):
     rows = near_copies(random.Random(3), groups=6)
     assert Counter(map(tuple, N.ngram_jaccard(documents(spark, rows), 5, 80).collect())) == brute_components(rows, 5, 80)
 
 
+def test_string_ids(spark):
+    rows = near_copies(random.Random(9), groups=4)
+    named = [(f"d{i:03d}", t) for i, t in rows]
+    out = N.ngram_jaccard(spark.createDataFrame(named, "doc_id string, text string"))
+    assert Counter(map(tuple, out.collect())) == brute_components(named)
+
+
 def test_shared_passages_alone_link_nothing(spark):
     rng = random.Random(4)
     passage = " ".join(f"p{k}" for k in range(60))
@@ -174,22 +205,27 @@ def test_shingle_hashes_follow_the_words():
         text = "".join(x + rng.choice([" ", "\t\n", "  "]) for x in w).encode()
         assert len(N.shingles(text)) == len(shingle_set(" ".join(w)))
         key = frozenset(shingle_set(" ".join(w)))
-        assert seen.setdefault(key, N.signature(N.shingles(text))) == N.signature(N.shingles(text))
+        assert seen.setdefault(key, N.signatures(N.shingles(text))) == N.signatures(N.shingles(text))
     assert len(set(seen.values())) == len(seen)
 
 
-def test_prefixes_never_rule_out_a_link():
+def test_bounds_never_rule_out_a_link():
+    """What prefixes of linked sets have in common, against the bound of a pair and the least of a range of sizes."""
     rng = np.random.default_rng(6)
-    for _ in range(300):
+    bound = lambda n, m, p=85: (n + m) * p / (100 + p) - max(n, m) * p / 100
+    linked = 0
+    for _ in range(3000):
         universe = np.sort(rng.integers(0, 2**62, 60))
-        sets = [np.sort(rng.choice(universe, rng.integers(20, 60), replace=False)) for _ in range(4)]
-        rows = [(k < 2, k, k, len(x), x[: N.prefix_size(len(x), 85)]) for k, x in enumerate(sets)]
-        kept = set(N.opened(rows, False, 85))
-        for i in (0, 1):
-            for j in (2, 3):
-                c = len(np.intersect1d(sets[i], sets[j]))
-                if 100 * c >= 85 * (len(sets[i]) + len(sets[j]) - c):
-                    assert {i, j} <= kept
+        x, y = (np.sort(rng.choice(universe, rng.integers(45, 60), replace=False)) for _ in range(2))
+        c = len(np.intersect1d(x, y))
+        if 100 * c >= 85 * (len(x) + len(y) - c):
+            linked += 1
+            common = len(np.intersect1d(x[: N.prefix_size(len(x), 85)], y[: N.prefix_size(len(y), 85)]))
+            assert common >= max(1, bound(len(x), len(y)))
+            low, high = rng.integers(30, len(y) + 1), rng.integers(len(y), 90)
+            low, high = max(low, len(x) * 0.85), min(high, len(x) / 0.85)
+            assert common >= min(bound(len(x), low), bound(len(x), high)) - 1e-6
+    assert linked > 100
 
 
 def test_components_of_a_chain(spark):
@@ -229,10 +265,31 @@ def test_raking_meets_its_targets(spark):
     cells = spark.createDataFrame([(f"s{a}", f"l{b}", f"t{c}", rng.randint(1, 1000)) for a in range(4) for b in range(3) for c in range(2)], "source string, lang string, topic string, tokens long")
     shares = {"source": [0.4, 0.3, 0.2, 0.1], "lang": [0.5, 0.3, 0.2], "topic": [0.7, 0.3]}
     targets = {n: spark.createDataFrame([(f"{n[0]}{k}", v) for k, v in enumerate(x)], f"{n} string, share double") for n, x in shares.items()}
-    fitted = rake(cells, targets, rounds=30)
+    fitted = rake(cells, targets)
     for name, wanted in shares.items():
         found = {r[0]: r[1] for r in fitted.groupBy(name).agg(F.sum("weight")).collect()}
-        assert all(abs(found[f"{name[0]}{k}"] - v) < 1e-6 for k, v in enumerate(wanted))
+        assert all(abs(found[f"{name[0]}{k}"] - v) < 1e-9 for k, v in enumerate(wanted))
+
+
+def test_raking_goes_on_where_sources_are_tied_to_languages(spark):
+    cells = spark.createDataFrame([("s0", "l0", "t", 900), ("s0", "l1", "t", 100), ("s1", "l0", "t", 50), ("s1", "l1", "t", 450)], "source string, lang string, topic string, tokens long")
+    targets = {"source": spark.createDataFrame([("s0", 0.5), ("s1", 0.5)], "source string, share double"), "lang": spark.createDataFrame([("l0", 0.45), ("l1", 0.55)], "lang string, share double"), "topic": spark.createDataFrame([("t", 1.0)], "topic string, share double")}
+    found = {(r.source, r.lang): r.weight for r in rake(cells, targets, 1e-4).collect()}
+    assert abs(found["s0", "l0"] + found["s1", "l0"] - 0.45) < 1e-4 and abs(found["s0", "l0"] + found["s0", "l1"] - 0.5) < 1e-4
+    with pytest.warns(UserWarning, match="contradict"):
+        rake(cells, targets, 1e-6, max_rounds=1)
+
+
+def test_the_sample_has_the_target_shares(spark):
+    rng = random.Random(11)
+    docs = documents(spark, [(i, "w " * rng.randint(1, 400)) for i in range(6000)]).withColumn("lang", F.when(F.col("doc_id") % 5 < 3, "en").otherwise("de"))
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "big").otherwise(F.concat(F.lit("s"), F.col("doc_id") % 4)))
+    shares = {"source": {"big": 0.2, "s0": 0.2, "s1": 0.2, "s2": 0.2, "s3": 0.2}, "lang": {"en": 0.5, "de": 0.5}, "topic": {"short": 0.4, "medium": 0.6}}
+    targets = {n: spark.createDataFrame(list(x.items()), f"{n} string, share double") for n, x in shares.items()}
+    out = source_mixing(docs, targets=targets).where("sampled").toPandas()
+    for name, wanted in shares.items():
+        held = out.groupby(name)["n_tokens"].sum() / out["n_tokens"].sum()
+        assert all(abs(held[k] - v) < 0.05 for k, v in wanted.items())
 
 
 def test_samples_follow_probabilities(spark):

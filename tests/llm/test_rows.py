@@ -1,6 +1,7 @@
 """Operators that judge each document: against plain Python, on generated and on odd texts."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -128,9 +129,9 @@ def brute_hits(docs, items):
     return Counter(out)
 
 
-@pytest.mark.parametrize("block", [D.BLOCK_WORDS, 12])
-def test_decontamination(spark, monkeypatch, block):
-    monkeypatch.setattr(D, "BLOCK_WORDS", block)
+@pytest.mark.parametrize("bits", [D.MAX_BITS, 64])
+def test_decontamination(spark, monkeypatch, bits):
+    monkeypatch.setattr(D, "MAX_BITS", bits)  # so few let nearly all shingles through
     rng = random.Random(4)
     word = lambda: rng.choice(["a", "B", "c-d", "É", "e1"])
     items = [(i, " ".join(word() for _ in range(rng.choice([0, 1, 3, 10, 14])))) for i in range(8)] + [(3, "a b c"), (None, "zz yy"), (9, None)]
@@ -170,32 +171,65 @@ def test_whole_tokens_are_single(spark):
         assert len(tokenizer.encode(w, add_special_tokens=False).ids) == 1
 
 
-def test_license_scan_finds_what_trying_all_templates_finds(spark):
+def word_edits(notice, run, keep, stop):
+    """Edit distance of two lists of words, by the plain table; words of keep neither dropped nor replaced."""
+    if stop & set(run):
+        return math.inf
+    table = {(0, 0): 0}
+    for i in range(len(notice) + 1):
+        for j in range(len(run) + 1):
+            if i or j:
+                cost = math.inf if i and notice[i - 1] in keep else 1
+                ways = [table[i - 1, j] + cost] if i else []
+                ways += [table[i, j - 1] + 1] if j else []
+                ways += [table[i - 1, j - 1] + (0 if notice[i - 1] == run[j - 1] else cost)] if i and j else []
+                table[i, j] = min(ways)
+    return table[len(notice), len(run)]
+
+
+def brute_licenses(text):
+    """Licenses of which any run of the whole text's words is near a wording, by trying all runs."""
+    words = re.findall(r"[0-9a-z]+|[^\x00-\x7F]+", text.lower())
+    found = set()
+    for name, (must, notices) in L.LICENSES.items():
+        for notice in notices:
+            own = re.findall(r"[0-9a-z]+|[^\x00-\x7F]+", notice.lower())
+            allowed = int(0.15 * len(own))
+            keep, stop = set(must) & set(own), set(L.TELLING) - set(own)
+            for i in range(len(words)):
+                for n in range(len(own) - allowed, len(own) + allowed + 1):
+                    if n <= len(words) - i and word_edits(own, words[i : i + n], keep, stop) <= allowed:
+                        found.add(name)
+    return found
+
+
+def test_license_scan_finds_what_trying_all_runs_finds(spark):
     rng = random.Random(8)
-    notices = [(name, n) for name, (_, ns) in L.LICENSES.items() for n in ns]
-    rows, truth = [], []
-    for i in range(120):
-        name, notice = rng.choice(notices)
-        filler = " ".join(rng.choice(["green", "tree", "house", "over"]) for _ in range(rng.randint(0, 20)))
-        if rng.random() < 0.3:
-            notice = notice.upper().replace(" ", " *** ")
-        rows.append((i, f"{filler}.\n{notice}\n{filler}" if rng.random() < 0.8 else filler + " copyright of nothing"))
-        all_of = {n for b in L.blocks_of(rows[-1][1]) for n in L.LICENSES if L.confirmed(n, L.words_of(b)) is not None}
-        truth.append((name if "copyright of nothing" not in rows[-1][1] else "", all_of))
-    for r in L.license_scan(documents(spark, rows)).collect():
-        name, all_of = truth[r.doc_id]
-        found = set(r.licenses.split(",")) - {""}
-        assert found <= all_of and bool(found) == bool(all_of)
-        assert found == ({name} if name else set())
+    notices = [n for _, ns in L.LICENSES.values() for n in ns if len(n) < 110]
+    rows = []
+    for i in range(40):
+        words = rng.choice(notices).split()
+        for _ in range(rng.randint(0, 2)):
+            k = rng.randrange(len(words))
+            words[k : k + 1] = rng.choice([[], ["green"], [words[k], "house"], [words[k], "Lesser"]])
+        notice = " ".join(words).upper().replace(" ", " *** ") if rng.random() < 0.3 else " ".join(words)
+        filler = " ".join(rng.choice(["green", "tree", "house", "over"]) for _ in range(rng.randint(0, 12)))
+        rows.append((i, f"{filler}.\n{notice}\n{filler}" if rng.random() < 0.9 else filler + " copyright of nothing"))
+    found = {r.doc_id: set(r.licenses.split(",")) - {""} for r in L.license_scan(documents(spark, rows)).collect()}
+    brute = {i: brute_licenses(t) for i, t in rows}
+    assert all(found[i] <= brute[i] and bool(found[i]) == bool(brute[i]) for i, _ in rows)
+    assert all(found[i] == brute[i] for i, _ in rows if len(brute[i]) == 1)
+    assert sum(map(len, brute.values())) > 20 and sum(not x for x in brute.values()) > 4
+    assert L.license_scan(documents(spark, rows)).where("n_confirmed <> size(filter(split(licenses, ','), x -> x <> '')) AND n_blocks <= 1").count() == 0
     assert L.license_scan(empty(spark)).count() == 0
     assert L.license_scan(odd(spark)).where("n_blocks IS NULL OR licenses IS NULL").count() == 0
 
 
 def test_license_differences():
     w = L.words_of
-    assert L.differences(w("released under the mit license"), w("this is released under an mit license today")) == 1
-    assert L.differences(w("a b c"), w("")) == 3
-    assert L.confirmed("MIT", w("Released under the BSD License.")) is None
+    assert L.nearest(w("released under the mit license"), w("this is released under an mit license today")) == (1, 2, 7)
+    assert L.nearest(w("a b c"), w(""))[0] == 3
+    assert L.candidates("MIT", w("Released under the BSD License.")) == []
 
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
