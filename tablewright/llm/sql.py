@@ -123,6 +123,7 @@ FROM d LEFT JOIN agg USING (rid)"""
 
 
 def line_dedup_sql() -> str:
+    # levenshtein() counts bytes, of which a character has four at most, so it only gates.
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS ls FROM documents)
 , l AS (
@@ -135,7 +136,10 @@ WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(tex
   UNION ALL SELECT x.plain, y.plain FROM long x JOIN long y ON x.t0 = y.t0 WHERE x.n = y.n AND x.first > y.first
   UNION ALL SELECT CASE WHEN x.first > y.first THEN x.plain ELSE y.plain END, CASE WHEN x.first > y.first THEN y.plain ELSE x.plain END FROM long x JOIN long y ON x.n = y.n + 1 AND x.h1 = y.h0
   UNION ALL SELECT CASE WHEN x.first > y.first THEN x.plain ELSE y.plain END, CASE WHEN x.first > y.first THEN y.plain ELSE x.plain END FROM long x JOIN long y ON x.n = y.n + 1 AND x.t1 = y.t0)
-, near AS (SELECT DISTINCT plain FROM cand WHERE levenshtein(plain, against) <= 1)
+, pair AS (SELECT plain, against, CASE WHEN length(plain) > length(against) THEN plain ELSE against END AS x, CASE WHEN length(plain) > length(against) THEN against ELSE plain END AS y FROM cand WHERE levenshtein(plain, against) <= 4)
+, near AS (
+  SELECT DISTINCT plain FROM pair WHERE CASE WHEN length(x) = length(y) THEN len(list_filter(range(1, length(x) + 1), lambda i: x[i] <> y[i])) <= 1
+    ELSE list_contains(list_transform(range(1, length(x) + 1), lambda i: x[:i - 1] || x[i + 1:]), y) END)
 , gone AS (
   SELECT l.rid, line_no, (l.doc_id, line_no) > first AS again FROM l JOIN f USING (plain) LEFT JOIN near USING (plain)
   WHERE (l.doc_id, line_no) > first OR near.plain IS NOT NULL)
