@@ -1,6 +1,6 @@
 """Operators for preparing large text corpora; nothing outside this subpackage imports it.
 
-What runs in Python workers is sent to them by value, so executors don't need this package installed.
+What runs in worker processes is sent to them by value, so executors don't need this package installed.
 """
 
 import sys

@@ -1,4 +1,4 @@
-"""Operators that judge each document: against plain Python, on generated and on odd texts."""
+"""Operators that judge each document: against plain loops, on generated and on odd texts."""
 
 import hashlib
 import math
@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from tablewright.llm import decontamination as D
 from tablewright.llm import license_scan as L
+from tablewright.llm import token_counts as T
 from tablewright.llm.quality_classifier import FEATURES, bradley_terry, good_documents, held_out, quality_classifier
 from tablewright.llm.quality_rules import quality_rules
 from tablewright.llm.secret_scan import secret_scan
@@ -100,6 +101,27 @@ def test_classifier_odd(spark):
     assert quality_classifier(empty(spark), labels).count() == 0
 
 
+def test_bradley_terry_is_what_slow_descent_finds():
+    """The weights against plain gradient descent on the same pairs, written apart."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    n = len(FEATURES)
+    x = rng.normal(size=(120, n))
+    y = (x[:, 0] - x[:, 1] + rng.normal(size=120) > 0.4).astype(int)
+    fit = bradley_terry(x, y, pairs=3000, penalty=0.05, seed=3)
+    good, bad, draws = x[y == 1], x[y == 0], np.random.default_rng(3)
+    scale = np.maximum(x.std(axis=0), 0.01)
+    better, worse = draws.integers(len(good), size=3000), draws.integers(len(bad), size=3000)
+    d = (good[better] - bad[worse]) / scale
+    w = np.zeros(n)
+    for _ in range(3000):
+        w += 0.3 * ((d / (1 + np.exp(d @ w))[:, None]).mean(axis=0) - 0.05 * w)
+    assert np.allclose(fit.weights * scale, w, atol=1e-4)
+    raw = np.sort(x @ fit.weights)
+    assert (x @ fit.weights >= fit.cut).sum() == len(good) and raw[len(bad) - 1] <= fit.cut <= raw[len(bad)]
+
+
 def test_bradley_terry_orders_pairs():
     import numpy as np
 
@@ -163,6 +185,24 @@ def test_token_counts_are_the_librarys(spark):
     assert token_counts(odd(spark), TOKENIZER).count() == len(odd_rows())
 
 
+def test_other_tokenizers_encode_whole_texts(spark, tmp_path):
+    import json
+
+    with open(TOKENIZER, encoding="utf-8") as file:
+        source = json.load(file)
+    assert T.counts_by_word(json.dumps(source))
+    source["normalizer"]["normalizers"].pop()
+    source["pre_tokenizer"] = None  # words now stick together
+    source["truncation"] = {"max_length": 3, "strategy": "LongestFirst", "stride": 0, "direction": "Right"}
+    assert not T.counts_by_word(json.dumps(source))
+    (tmp_path / "other.json").write_text(json.dumps(source))
+    tokenizer = Tokenizer.from_str(json.dumps(source))
+    tokenizer.no_truncation()
+    texts = ["the Cat sat on the mat and then", "", None, "don't  stop"]
+    out = {r.doc_id: r.n_tokens for r in token_counts(documents(spark, list(enumerate(texts))), str(tmp_path / "other.json")).collect()}
+    assert out == {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
 def test_whole_tokens_are_single(spark):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     whole = prove_whole_tokens(tokenizer)
