@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm.common import staged, table
+from tablewright.llm.common import Temporary, table
 from tablewright.llm.decontamination import clean_documents
 from tablewright.llm.line_dedup import deduplicated
 from tablewright.llm.ngram_jaccard import distinct_documents
@@ -56,7 +56,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), Temporary()
     for _, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir))
+        now = Temporary()
+        docs = now.staged(stage(spark, docs, sf_dir))
+        before.release()  # what the stage before it kept
+        before = now
     return docs
