@@ -17,11 +17,38 @@ def from_long(df: DataFrame, key: str, item: str) -> DataFrame:
 
 
 def itemsets(baskets: DataFrame, least_support: float, max_length: int | None = None) -> DataFrame:
-    """(items, freq, support, length) of itemsets in at least that share of baskets; items in order."""
+    """(items, freq, support, length) of itemsets in at least that share of baskets; items in order.
+
+    With max_length, longer ones are never looked for: level by level, of the frequent items of each basket, those
+    combinations are counted whose part without the last item is frequent. Without it all lengths are mined.
+    """
     n = baskets.agg(F.count(F.lit(1)).alias("__n"))
-    found = FPGrowth(itemsCol="items", minSupport=least_support).fit(baskets.select("items")).freqItemsets
-    out = found.crossJoin(F.broadcast(n)).select(F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.col("__n")).alias("support"), F.size("items").alias("length"))
-    return out if max_length is None else out.where(F.col("length") <= max_length)
+    if max_length is None:
+        found = FPGrowth(itemsCol="items", minSupport=least_support).fit(baskets.select("items")).freqItemsets.select(F.array_sort("items").alias("items"), "freq")
+    else:
+        found = _levels(baskets.select("items"), n, least_support, max_length)
+    return found.crossJoin(F.broadcast(n)).select("items", "freq", (F.col("freq") / F.col("__n")).alias("support"), F.size("items").alias("length"))
+
+
+def _levels(baskets: DataFrame, n: DataFrame, least_support: float, max_length: int) -> DataFrame:
+    enough = F.col("freq") >= F.ceil(F.round(F.col("__n") * least_support, 9))
+    frequent = lambda counted: counted.crossJoin(F.broadcast(n)).where(enough).drop("__n")
+    one = frequent(baskets.select(F.explode(F.array_distinct("items")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("freq")))
+    rows = baskets.withColumn("__id", F.monotonically_increasing_id()).select("__id", F.explode(F.array_distinct("items")).alias("item"))
+    rows = rows.join(one.select("item"), "item").groupBy("__id").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    out, level = one.select(F.array("item").alias("items"), "freq"), None
+    for length in range(2, max_length + 1):
+        # Each start (an itemset of one less) with each later item of its basket.
+        if level is None:
+            starts = rows.select("items", F.posexplode("items").alias("at", "x")).select("items", F.array("x").alias("start"), "at")
+        else:
+            starts = level.join(frequent_sets, "start")
+        more = starts.select("items", "start", F.posexplode(F.expr("slice(items, at + 2, size(items))")).alias("step", "x"), "at")
+        level = more.select("items", F.concat("start", F.array("x")).alias("start"), (F.col("at") + F.col("step") + 1).alias("at"))
+        counted = frequent(level.groupBy(F.col("start").alias("items")).agg(F.count(F.lit(1)).alias("freq")))
+        frequent_sets = counted.select(F.col("items").alias("start"))
+        out = out.unionByName(counted)
+    return out
 
 
 def rules(sets: DataFrame, least_confidence: float = 0.0, least_lift: float = 0.0) -> DataFrame:
@@ -29,8 +56,8 @@ def rules(sets: DataFrame, least_confidence: float = 0.0, least_lift: float = 0.
 
     Each part of a frequent itemset is frequent, so its support is in sets; splits are the bit masks of the items.
     """
-    masks = sets.where("length > 1").select("items", "support", F.explode(F.sequence(F.lit(1), (F.pow(F.lit(2.0), F.col("length")) - 2).cast("int"))).alias("mask"))
-    part = lambda bit: F.filter("items", lambda x, i: F.expr("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) == F.lit(0) if bit == 0 else F.expr("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) != F.lit(0))
+    masks = sets.where("length > 1").select("items", "support", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("shiftleft(1L, length) - 2"))).alias("mask"))
+    part = lambda bit: F.filter("items", lambda x, i: F.expr("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i)) == F.lit(0) if bit == 0 else F.expr("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i)) != F.lit(0))
     split = masks.select("support", part(1).alias("antecedent"), part(0).alias("consequent"))
     one = sets.select(F.col("items").alias("antecedent"), F.col("support").alias("__a"))
     two = sets.select(F.col("items").alias("consequent"), F.col("support").alias("__c"))

@@ -7,6 +7,7 @@ probabilities from a logistic fit of its margins; a recurrent network is a linea
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 import numpy as np
@@ -110,7 +111,7 @@ def gaussian_nb(df: DataFrame, features: Sequence[str], label: str, smoothing: f
 def gaussian_nb_predict(df: DataFrame, key: str, features: Sequence[str], classes: DataFrame) -> DataFrame:
     """(key, predicted): the class of the greatest log likelihood, the smallest of ties. Classes are a few rows."""
     terms = [-0.5 * (F.log(2 * F.pi() * F.col(f"var_{c}")) + F.pow(F.col(c).cast("double") - F.col(f"mean_{c}"), 2) / F.col(f"var_{c}")) for c in features]
-    scored = df.select(key, *features).crossJoin(F.broadcast(classes)).select(key, "class", sum(terms, F.log("prior")).alias("__ll"))
+    scored = df.select(key, *features).crossJoin(classes).select(key, "class", sum(terms, F.log("prior")).alias("__ll"))
     return scored.groupBy(key).agg(F.max(F.struct("__ll", (-F.col("class")).alias("c"))).alias("m")).select(key, (-F.col("m.c")).alias("predicted"))
 
 
@@ -152,11 +153,17 @@ def cross_validated(df: DataFrame, pipeline: Pipeline, params: list, label: str
     return CrossValidator(estimator=pipeline, estimatorParamMaps=params, evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism).fit(df)
 
 
-def searched(train: DataFrame, valid: DataFrame, make, values: Mapping[str, Sequence], evaluate) -> Iterator[tuple[dict, float]]:
-    """Yields (parameters, score on valid) as each fit ends; the caller refits the best. Scores never come from train."""
-    for choice in product(*values.values()):
-        params = dict(zip(values, choice))
-        yield params, evaluate(make(**params).fit(train).transform(valid))
+def searched(train: DataFrame, valid: DataFrame, make, values: Mapping[str, Sequence], evaluate, parallel: int = 4) -> Iterator[tuple[dict, float]]:
+    """Yields (parameters, score on valid) in order, parallel fits at a time; the caller refits the best. Scores never come from train."""
+    points = [dict(zip(values, choice)) for choice in product(*values.values())]
+    with ThreadPoolExecutor(parallel) as pool:
+        yield from zip(points, pool.map(lambda p: evaluate(make(**p).fit(train).transform(valid)), points))
+
+
+def each_of(points: Sequence, evaluate, parallel: int = 4) -> list:
+    """evaluate(point) of each point, in order."""
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(evaluate, points))
 
 
 def window_regression(windows: DataFrame, size: int) -> Pipeline:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import quantiles
+
 
 def mode_of(column: str) -> Column:
     """The most frequent value, the smallest of ties."""
@@ -16,15 +18,21 @@ def mode_of(column: str) -> Column:
 def fitted(column: str, strategy: str, constant=None) -> Column:
     """What fills a column's nulls, as an aggregate."""
     x = F.col(column)
-    return {"mean": lambda: F.avg(x), "median": lambda: F.percentile(x, F.lit(0.5)), "mode": lambda: mode_of(column), "constant": lambda: F.lit(constant)}[strategy]()
+    return {"mean": lambda: F.avg(x), "mode": lambda: mode_of(column), "constant": lambda: F.lit(constant)}[strategy]()
 
 
 def impute(df: DataFrame, strategies: Mapping[str, str], fit_on: DataFrame | None = None, constant=None) -> DataFrame:
     """Fills nulls of each column by its strategy (mean, median, mode, constant), fitted on fit_on or df itself.
 
-    All strategies are fitted in one pass to a single row, which is broadcast.
+    All strategies but medians are fitted in one pass; the fit is a single row, which is broadcast.
     """
-    values = (df if fit_on is None else fit_on).agg(*[fitted(c, s, constant).alias(f"__fill_{c}") for c, s in strategies.items()])
+    base = df if fit_on is None else fit_on
+    medians = [c for c, s in strategies.items() if s == "median"]
+    values = base.agg(F.lit(1).alias("__one"), *[fitted(c, s, constant).alias(f"__fill_{c}") for c, s in strategies.items() if s != "median"])
+    if medians:
+        found = quantiles(base, medians, [0.5]).agg(*[F.max(F.when(F.col("column") == c, F.col("values")[0])).alias(f"__fill_{c}") for c in medians])
+        values = values.crossJoin(F.broadcast(found))  # one row each
+    values = values.drop("__one")
     filled = df.crossJoin(F.broadcast(values)).withColumns({c: F.coalesce(c, f"__fill_{c}") for c in strategies})
     return filled.drop(*[f"__fill_{c}" for c in strategies])
 
@@ -80,6 +88,12 @@ def baskets_matrix(df: DataFrame, key: str, item: str, items: Sequence[str] | No
     return df.groupBy(key).agg(*[F.max(F.coalesce((F.col(item) == v).cast("int"), F.lit(0))).alias(str(v)) for v in items])
 
 
+def sparse_rows(df: DataFrame, key: str, item: str, table: DataFrame) -> DataFrame:
+    """(key, codes): for each basket the sorted codes of its items by a table of encoders()."""
+    own = table.where(F.col("column") == item).select(F.col("label").alias("__label"), "code")
+    return df.join(own, F.col(item).cast("string") == F.col("__label")).groupBy(key).agg(F.array_sort(F.collect_set("code")).alias("codes"))
+
+
 def one_hot_of(values: Column, vocabulary: Column) -> Column:
     """For an array of values, arrays of 0 and 1 over a sorted vocabulary."""
     return F.transform(values, lambda x: F.transform(vocabulary, lambda v: (v == x).cast("int")))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quantiles import quantiles
+
 
 def columns_of(df: DataFrame, include: type | tuple = (), exclude: type | tuple = ()) -> list[str]:
     """Names of columns by their Spark type, in order."""
@@ -38,13 +40,11 @@ def info(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and interpolated quartiles, in one pass."""
+    """Count, mean, sample deviation, extremes and interpolated quartiles."""
     x = {c: F.col(c).cast("double") for c in columns}
-    return unpivoted(
-        df,
-        {c: [F.count(c), F.avg(x[c]), F.stddev_samp(x[c]), F.min(x[c]), *[F.percentile(x[c], F.lit(p)) for p in (0.25, 0.5, 0.75)], F.max(x[c])] for c in columns},
-        ["count", "mean", "std", "min", "q1", "median", "q3", "max"],
-    )
+    moments = unpivoted(df, {c: [F.count(c), F.avg(x[c]), F.stddev_samp(x[c]), F.min(x[c]), F.max(x[c])] for c in columns}, ["count", "mean", "std", "min", "max"])
+    found = quantiles(df, columns, (0.25, 0.5, 0.75)).select("column", *[F.col("values")[k].alias(n) for k, n in enumerate(("q1", "median", "q3"))])
+    return moments.join(found, "column", "left").select("column", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 
 def n_duplicated(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -77,7 +77,7 @@ def group_present(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
 
 def most_frequent(df: DataFrame, column: str) -> DataFrame:
     """The mode, the smallest on ties, with its count."""
-    return value_counts(df, column).agg(F.max(F.struct("n")).alias("top")).crossJoin(value_counts(df, column)).where(F.col("n") == F.col("top.n")).agg(F.min(column).alias("mode"), F.max("n").alias("n"))
+    return value_counts(df, column).orderBy(F.desc("n"), column).limit(1).select(F.col(column).alias("mode"), "n")
 
 
 def correlations(df: DataFrame, columns: Sequence[str], symmetric: bool = True) -> DataFrame:
@@ -113,7 +113,7 @@ def histogram_edges(df: DataFrame, column: str, edges: Sequence[float]) -> DataF
 def box_stats(df: DataFrame, key: str, column: str, reach: float = 1.5) -> DataFrame:
     """Quartiles by key, whiskers (extremes within reach times the quartiles' distance) and how many values lie outside."""
     x = F.col(column).cast("double")
-    q = df.groupBy(key).agg(*[F.percentile(x, F.lit(p)).alias(n) for n, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+    q = quantiles(df, [column], (0.25, 0.5, 0.75), [key]).select(key, *[F.col("values")[k].alias(n) for k, n in enumerate(("q1", "median", "q3"))])
     low, high = F.col("q1") - reach * (F.col("q3") - F.col("q1")), F.col("q3") + reach * (F.col("q3") - F.col("q1"))
     inside = x.between(low, high)
     return df.join(q, key).groupBy(key, "q1", "median", "q3").agg(F.min(F.when(inside, x)).alias("low"), F.max(F.when(inside, x)).alias("high"), F.count_if(~inside).alias("n_outside"))

@@ -21,39 +21,62 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), BREAK), lambda t: F.length(t) >= 2)
 
 
-def term_counts(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), max_terms: int | None = None) -> DataFrame:
-    """(key, term, tf): counts by document, of the max_terms terms that are most frequent in all (ties by term)."""
-    words = df.select(key, F.explode(tokens(F.col(text))).alias("term"))
-    if stop_words:
-        words = words.where(~F.col("term").isin(list(stop_words)))
-    counts = words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    if max_terms is not None:
-        vocabulary = counts.groupBy("term").agg(F.sum("tf").alias("n")).orderBy(F.desc("n"), "term").limit(max_terms).select("term")
-        counts = counts.join(F.broadcast(vocabulary), "term").select(key, "term", "tf")  # max_terms rows
-    return counts
+def terms_of(df: DataFrame, text: str, stop_words: Sequence[str] = (), *keep: str) -> DataFrame:
+    """(keep, term): a row for each token that is no stop word."""
+    words = df.select(*keep, F.explode(tokens(F.col(text))).alias("term"))
+    return words.where(~F.col("term").isin(list(stop_words))) if stop_words else words
 
 
-def tf_idf(counts: DataFrame, key: str, n_documents: DataFrame) -> DataFrame:
-    """(key, term, weight): tf * (ln((1 + n) / (1 + df)) + 1), each document scaled to length 1.
+def vocabulary(df: DataFrame, text: str, stop_words: Sequence[str] = (), max_terms: int | None = None) -> DataFrame:
+    """(term): all terms, or the max_terms that are most frequent in all texts (ties by term); summed on the map side."""
+    counts = terms_of(df, text, stop_words).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return (counts if max_terms is None else counts.orderBy(F.desc("n"), "term").limit(max_terms)).select("term")
+
+
+def term_counts(df: DataFrame, key: str, text: str, stop_words: Sequence[str] = (), max_terms: int | None = None, known: DataFrame | None = None) -> DataFrame:
+    """(key, term, tf): counts by document, of the max_terms terms that are most frequent in all (ties by term).
+
+    With known (term), of the terms of that vocabulary instead, as for new texts.
+    """
+    words = terms_of(df, text, stop_words, key)
+    if known is not None:
+        words = words.join(known.select("term"), "term")
+    elif max_terms is not None:
+        words = words.join(F.broadcast(vocabulary(df, text, stop_words, max_terms)), "term")  # max_terms rows
+    return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def idf(counts: DataFrame, n_documents: DataFrame) -> DataFrame:
+    """(term, idf): ln((1 + n) / (1 + df)) + 1 of each term of counts; the fit that weighs other texts too.
 
     n_documents: one row with column n, so that documents without terms count too.
     """
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = counts.join(frequency, "term").crossJoin(F.broadcast(n_documents)).withColumn("raw", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
+    return frequency.crossJoin(F.broadcast(n_documents)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def weighted(counts: DataFrame, key: str, fit: DataFrame) -> DataFrame:
+    """(key, term, weight): tf * idf of counts (key, term, tf) by a fit of idf(), each document scaled to length 1; terms without one are left out."""
+    raw = counts.join(fit, "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    # At most one row for each term of a document in a window.
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.withColumn("weight", F.col("raw") / length).select(key, "term", "weight")
 
 
-def similarities(weights: DataFrame, key: str, least: float = 0.0, queries: DataFrame | None = None) -> DataFrame:
+def tf_idf(counts: DataFrame, key: str, n_documents: DataFrame) -> DataFrame:
+    """(key, term, weight) of counts by their own idf."""
+    return weighted(counts, key, idf(counts, n_documents))
+
+
+def similarities(weights: DataFrame, key: str, least: float = 0.0, queries: DataFrame | None = None, salt: int = 16) -> DataFrame:
     """(a, b, cosine) of documents with a term in common, a < b: an equi-join on the term and a sum.
 
-    With queries (a column of keys) only pairs with one of them: (query, key, cosine).
+    With queries (key, term, weight), vectors of the same vocabulary, pairs of one of them and another key. A term that
+    most documents hold is dealt out to salt parts: documents by their key, the other side copied to each.
     """
-    left = weights.select(F.col(key).alias("a"), "term", F.col("weight").alias("x"))
-    if queries is not None:
-        left = left.join(queries.select(F.col(key).alias("a")), "a", "left_semi")
-    right = weights.select(F.col(key).alias("b"), "term", F.col("weight").alias("y"))
-    pairs = left.join(right, "term").where("a < b" if queries is None else "a <> b")
+    left = (weights if queries is None else queries).select(F.col(key).alias("a"), "term", F.col("weight").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("__salt"))
+    right = weights.select(F.col(key).alias("b"), "term", F.col("weight").alias("y"), F.pmod(F.xxhash64(key), F.lit(salt)).cast("int").alias("__salt"))
+    pairs = left.join(right, ["term", "__salt"]).where("a < b" if queries is None else "a <> b")
     return pairs.groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("cosine")).where(F.col("cosine") >= least)
 
 

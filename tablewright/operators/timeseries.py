@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .split import with_place
@@ -16,37 +16,37 @@ from .split import with_place
 CHUNK = 100_000
 
 
-def chunked(df: DataFrame, order: Sequence[str], bucket: Column, back: int, ahead: int, chunk: int = CHUNK) -> DataFrame:
+def chunked(df: DataFrame, order: Sequence[str], back: int, ahead: int, chunk: int = CHUNK) -> DataFrame:
     """df with __place and __chunk, each row also in the chunks that need it; __own tells where it belongs."""
-    placed = with_place(df, order, bucket)
+    placed = with_place(df, order)
     low, high = F.floor((F.col("__place") - ahead) / chunk), F.floor((F.col("__place") + back) / chunk)
     placed = placed.withColumn("__chunk", F.explode(F.sequence(F.greatest(low, F.lit(0)), high)))
     return placed.withColumn("__own", F.floor(F.col("__place") / chunk) == F.col("__chunk"))
 
 
-def with_neighbour(df: DataFrame, value: str, order: Sequence[str], bucket: Column, by: int, name: str, chunk: int = CHUNK) -> DataFrame:
+def with_neighbour(df: DataFrame, value: str, order: Sequence[str], by: int, name: str, chunk: int = CHUNK) -> DataFrame:
     """Adds the value by places later (earlier if negative); null beyond the ends."""
-    dealt = chunked(df, order, bucket, max(-by, 0), max(by, 0), chunk)
+    dealt = chunked(df, order, max(-by, 0), max(by, 0), chunk)
     window = Window.partitionBy("__chunk").orderBy("__place")
     return dealt.withColumn(name, F.lead(value, by).over(window) if by > 0 else F.lag(value, -by).over(window)).where("__own").select(*df.columns, "__place", name)
 
 
-def next_value_target(df: DataFrame, value: str, order: Sequence[str], bucket: Column, chunk: int = CHUNK) -> DataFrame:
+def next_value_target(df: DataFrame, value: str, order: Sequence[str], chunk: int = CHUNK) -> DataFrame:
     """Adds next_value and target: 1 where it is greater; the last row has 0."""
-    out = with_neighbour(df, value, order, bucket, 1, "next_value", chunk)
+    out = with_neighbour(df, value, order, 1, "next_value", chunk)
     return out.withColumn("target", F.when(F.col("next_value") > F.col(value), 1).otherwise(0))
 
 
-def sliding_windows(df: DataFrame, value: str, order: Sequence[str], bucket: Column, size: int = 60, chunk: int = CHUNK) -> DataFrame:
+def sliding_windows(df: DataFrame, value: str, order: Sequence[str], size: int = 60, chunk: int = CHUNK) -> DataFrame:
     """Rows with size earlier values: window (those, in order) and target (the row's own value)."""
-    dealt = chunked(df, order, bucket, size, 0, chunk)
+    dealt = chunked(df, order, size, 0, chunk)
     window = Window.partitionBy("__chunk").orderBy("__place").rowsBetween(-size, -1)
     return dealt.withColumn("window", F.collect_list(value).over(window)).where("__own").where(F.size("window") == size).select(*df.columns, "__place", "window", F.col(value).alias("target"))
 
 
-def percent_change(df: DataFrame, value: str, order: Sequence[str], bucket: Column) -> DataFrame:
+def percent_change(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
     """Adds change in percent of the earlier value; null for the first row and where that value is 0."""
-    out = with_neighbour(df, value, order, bucket, -1, "__earlier")
+    out = with_neighbour(df, value, order, -1, "__earlier")
     return out.withColumn("change", F.when(F.col("__earlier") != 0, (F.col(value) - F.col("__earlier")) / F.col("__earlier") * 100)).drop("__earlier")
 
 

@@ -177,7 +177,7 @@ def equal_columns(spark, d):
 def next_value_target(spark, d):
     """The next value in order and whether it is higher."""
     df = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    return timeseries.next_value_target(df, "o_totalprice", ["o_orderdate", "o_orderkey"], month("o_orderdate")).select("o_orderkey", "o_totalprice", "next_value", "target")
+    return timeseries.next_value_target(df, "o_totalprice", ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_totalprice", "next_value", "target")
 
 
 @query("""
@@ -186,7 +186,7 @@ SELECT o_orderkey, round(list_sum(w), 2) AS total, w[1] AS oldest, w[60] AS newe
 def sliding_window(spark, d):
     """Windows of 60 earlier values with the value after them (A10)."""
     df = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    out = timeseries.sliding_windows(df, "o_totalprice", ["o_orderdate", "o_orderkey"], month("o_orderdate"), 60)
+    out = timeseries.sliding_windows(df, "o_totalprice", ["o_orderdate", "o_orderkey"], 60)
     return out.select("o_orderkey", F.round(F.aggregate("window", F.lit(0.0), lambda s, x: s + x), 2).alias("total"), F.col("window")[0].alias("oldest"), F.col("window")[59].alias("newest"), "target")
 
 
@@ -196,7 +196,7 @@ SELECT month, total, round((total - lag(total) OVER (ORDER BY month)) / lag(tota
 def pct_change(spark, d):
     """Percent change of monthly totals."""
     months = read_table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
-    out = timeseries.percent_change(months, "total", ["month"], F.substring("month", 1, 4))
+    out = timeseries.percent_change(months, "total", ["month"])
     return out.select("month", "total", F.round("change", 6).alias("change"))
 
 

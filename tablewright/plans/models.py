@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from ..operators import cluster, metrics, models, select, timeseries
+from ..operators import cluster, metrics, models, select, split, timeseries
+from ..session import shared_dir
 from ..sources import readers, sinks
 from ..sources.readers import read_table
 from .profiles import rounded
@@ -126,7 +126,7 @@ def linear_fit_1d(spark, d):
     return rounded(rounded(models.line_fit(read_table(spark, d, "lineitem"), "l_quantity", "l_extendedprice"), 5, "slope"), 4, "intercept")
 
 
-NB = [f"e{k}" for k in range(8)]
+NB = [f"e{k}" for k in range(64)]
 
 
 def vectors(spark, d):
@@ -199,7 +199,7 @@ def balances(spark, d):
 def kmeans_profile(spark, d):
     """k-means with the best of several seeds, and each cluster's means."""
     df = balances(spark, d)
-    model = cluster.kmeans(df, ["c_acctbal", "nation"], 5)
+    model = cluster.kmeans(df, ["c_acctbal", "nation"], 5, starts=10)
     labelled = model.transform(cluster.assembled(df, ["c_acctbal", "nation"]))
     return labelled.groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("c_acctbal"), 4).alias("mean_balance"), F.round(F.avg("nation"), 4).alias("mean_nation"))
 
@@ -259,7 +259,7 @@ def linear_svm_model(spark, d):
 def tree_models(spark, d):
     """A decision tree, a random forest and boosted trees."""
     train, test, *_ = parts(spark, d)
-    made = {"tree": models.decision_tree(), "forest": models.random_forest(trees=20, depth=6), "boosted": models.boosted_trees(rounds=5, depth=3)}
+    made = {"tree": models.decision_tree(), "forest": models.random_forest(trees=100, depth=6), "boosted": models.boosted_trees(rounds=20, depth=4)}
     out = [measured(m.fit(train), test).select(F.lit(name).alias("model"), "accuracy") for name, m in made.items()]
     return out[0].union(out[1]).union(out[2])
 
@@ -275,9 +275,10 @@ def kernel_svms(spark, d):
 
 @query()
 def regressions(spark, d):
-    """Linear regression and a forest on several features."""
-    df = cluster.assembled(read_table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"]).withColumnRenamed("l_extendedprice", "label").select("features", "label")
-    out = [metrics.regression_metrics(m.fit(df).transform(df), "label", "prediction").select(F.lit(name).alias("model"), "rmse", "mae", "r2") for name, m in (("linear", models.linear_regression()), ("forest", models.forest_regressor(trees=5, depth=5)))]
+    """Linear regression and a forest on several features, measured on unseen rows."""
+    df = cluster.assembled(read_table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"]).select("features", F.col("l_extendedprice").alias("label"), (F.crc32(F.concat_ws("-", "l_orderkey", "l_linenumber")) % 10).alias("part"))
+    train, test = df.where("part >= 3"), df.where("part < 3")
+    out = [metrics.regression_metrics(m.fit(train).transform(test), "label", "prediction").select(F.lit(name).alias("model"), "rmse", "mae", "r2") for name, m in (("linear", models.linear_regression()), ("forest", models.forest_regressor(trees=20, depth=6)))]
     return out[0].union(out[1])
 
 
@@ -290,27 +291,42 @@ def pca_project(spark, d):
 
 @query()
 def grid_search(spark, d):
-    """Cross-validated search of a grid, refitted on all training rows."""
-    train, test, *_ = parts(spark, d)
-    lr = models.logistic_regression(train.count())
-    best = models.cross_validated(train.select("features", "label"), Pipeline(stages=[lr]), models.grid(lr, {"regParam": [0.001, 0.1], "maxIter": [20, 50]}))
-    return measured(best.bestModel, test)
+    """Two-fold search of nine points (C and gamma) of a kernel SVM, refitted on all training rows."""
+    *_, train, test = parts(spark, d)
+    scale = lambda df: df.withColumn("chars", F.log1p("chars") / 10).withColumn("fold", F.crc32(F.concat("doc_id", F.lit("fold"))) % 2)
+    rows, unseen = scale(train).cache(), scale(test)
+    try:
+        fit = lambda df, c, gamma: models.kernel_svm(df, NUMBERS, "label", "rbf", gamma=gamma, reg=1 / (c * 1000))
+        score = lambda k, p: metrics.accuracy(fit(rows.where(F.col("fold") != k), **p).transform(rows.where(F.col("fold") == k)), "label", "prediction").first()[0]
+        points = [{"c": c, "gamma": g} for c in (0.1, 1.0, 10.0) for g in (0.1, 1.0, 10.0)]
+        found = models.each_of(points, lambda p: sum(score(k, p) for k in (0, 1)) / 2)
+        best = max(zip(found, range(len(points))), key=lambda x: (x[0], -x[1]))[1]
+        return measured(fit(rows, **points[best]), unseen).select(F.lit(points[best]["c"]).alias("c"), F.lit(points[best]["gamma"]).alias("gamma"), F.lit(len(points)).alias("points"), "accuracy")
+    finally:
+        rows.unpersist()
 
 
 @query()
 def validated_search(spark, d):
-    """Scores of each point of a grid as they come, on rows apart from those of the fit."""
-    train, test, *_ = parts(spark, d)
-    found = list(models.searched(train, test, lambda trees, depth: models.random_forest(trees=trees, depth=depth), {"trees": [3, 6], "depth": [2, 4]}, lambda p: metrics.accuracy(p, "label", "prediction").first()[0]))
-    return spark.createDataFrame([(p["trees"], p["depth"], s) for p, s in found], "trees int, depth int, accuracy double")
+    """Scores of each of 81 points of a grid of a forest regressor, on rows apart from those of the fit."""
+    df = cluster.assembled(read_table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice", (F.length("p_name")).alias("name")), ["p_size", "name"]).select("features", F.col("p_retailprice").alias("label"), (F.crc32(F.col("p_partkey").cast("string")) % 10).alias("part"))
+    df = df.cache()
+    try:
+        train, valid = df.where("part >= 3"), df.where("part < 3")
+        grid = {"trees": [2, 4, 6], "depth": [2, 3, 4], "leaf": [1, 2, 4], "seed": [1, 2, 3]}
+        make = lambda **p: models.forest_regressor(**p)
+        found = list(models.searched(train, valid, make, grid, lambda p: metrics.regression_metrics(p, "label", "prediction").first()["rmse"]))
+        return spark.createDataFrame([(*p.values(), s) for p, s in found], "trees int, depth int, leaf int, seed int, rmse double")
+    finally:
+        df.unpersist()
 
 
 @query()
 def window_forecast(spark, d):
-    """A linear model of the next value from the ten before it."""
+    """A linear model of the next value from the ten before it, fitted on the first 70 percent and measured on the rest."""
     df = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    windows = timeseries.sliding_windows(df, "o_totalprice", ["o_orderdate", "o_orderkey"], F.date_trunc("month", "o_orderdate"), 10)
-    return metrics.regression_metrics(models.window_regression(windows, 10).fit(windows).transform(windows), "target", "prediction")
+    windows = split.sequential_split(timeseries.sliding_windows(df, "o_totalprice", ["o_orderdate", "o_orderkey"], 10).select("o_orderdate", "o_orderkey", "window", "target"), ["o_orderdate", "o_orderkey"], 0.7)
+    return metrics.regression_metrics(models.window_regression(windows, 10).fit(windows.where("is_train")).transform(windows.where("NOT is_train")), "target", "prediction")
 
 
 @query()
@@ -318,8 +334,7 @@ def saved_model(spark, d):
     """A fitted pipeline saved, read again and applied to one row."""
     *_, train, test = parts(spark, d)
     model = Pipeline(stages=[*models.preprocessor(NUMBERS, CATEGORIES).getStages(), models.logistic_regression(train.count())]).fit(train)
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp()
-    path = f"{shared}/model-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
     sinks.save_model(model, path)
     row = spark.createDataFrame([(1, "en", 1200.0, 0.0, 0.02)], "doc_id int, lang string, chars double, symbols double, capitals double")
     return sinks.load_model(path).transform(row).select("doc_id", "prediction", models.score_of().alias("probability"))
@@ -329,7 +344,7 @@ def saved_model(spark, d):
 def decision_mesh(spark, d):
     """Predictions over a mesh of two features."""
     df = cluster.assembled(labelled(spark, d), ["symbols", "capitals"])
-    model = models.logistic_regression(1000).fit(df)
+    model = models.logistic_regression(df.count()).fit(df)
     axis = lambda name: spark.range(11).select((F.col("id") / 10).alias(name))
     return model.transform(cluster.assembled(axis("symbols").crossJoin(axis("capitals")), ["symbols", "capitals"])).select("symbols", "capitals", "prediction")
 

@@ -188,7 +188,7 @@ def stratified_split(spark, d):
 def sequential_split(spark, d):
     """The first 70 percent by time."""
     df = read_table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    return split.sequential_split(df, ["o_orderdate", "o_orderkey"], F.date_trunc("month", "o_orderdate"), 0.7).select("o_orderkey", "is_train")
+    return split.sequential_split(df, ["o_orderdate", "o_orderkey"], 0.7).select("o_orderkey", "is_train")
 
 
 @query(f"WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) SELECT o_orderkey, o_orderstatus FROM (SELECT o_orderkey, o_orderstatus, {RANK.format(by='PARTITION BY o_orderstatus', key='o_orderkey')} AS k FROM orders) WHERE k <= (SELECT min(n) FROM c)")

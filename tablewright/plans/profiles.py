@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import profile
+from ..operators.quantiles import quantiles
 from ..sources.readers import read_table
 from .registry import query
 
@@ -87,8 +88,10 @@ def value_counts_segment(spark, d):
 @query("SELECT round(avg(l_quantity), 6) AS mean, median(l_quantity) AS median, round(var_pop(l_quantity), 6) AS var_pop, round(stddev_pop(l_quantity), 6) AS std_pop, round(var_samp(l_quantity), 6) AS var_samp, round(stddev_samp(l_quantity), 6) AS std_samp FROM lineitem")
 def stats_pop_vs_sample(spark, d):
     """Population and sample statistics (A2)."""
-    x = F.col("l_quantity")
-    return rounded(read_table(spark, d, "lineitem").agg(F.avg(x).alias("mean"), F.percentile(x, F.lit(0.5)).alias("median"), F.var_pop(x).alias("var_pop"), F.stddev_pop(x).alias("std_pop"), F.var_samp(x).alias("var_samp"), F.stddev_samp(x).alias("std_samp")), 6, "mean", "var_pop", "std_pop", "var_samp", "std_samp")
+    df, x = read_table(spark, d, "lineitem").select("l_quantity"), F.col("l_quantity")
+    median = quantiles(df, ["l_quantity"], [0.5]).select(F.col("values")[0].alias("median"))
+    moments = df.agg(F.avg(x).alias("mean"), F.var_pop(x).alias("var_pop"), F.stddev_pop(x).alias("std_pop"), F.var_samp(x).alias("var_samp"), F.stddev_samp(x).alias("std_samp"))
+    return rounded(moments.crossJoin(F.broadcast(median)).select("mean", "median", "var_pop", "std_pop", "var_samp", "std_samp"), 6, "mean", "var_pop", "std_pop", "var_samp", "std_samp")
 
 
 @query("SELECT p_size AS mode, count(*)::BIGINT AS n FROM part GROUP BY 1 ORDER BY n DESC, mode LIMIT 1")

@@ -54,7 +54,31 @@ def tfidf_topk(spark, d):
 def query_cosine(spark, d):
     """Similarity of a stated set of query documents to all others."""
     w = weights(spark, d)
-    return rounded(text.similarities(w, "doc_id", queries=w.where("doc_id % 50 = 0").select("doc_id").distinct()), 6, "cosine")
+    return rounded(text.similarities(w, "doc_id", queries=w.where("doc_id % 50 = 0")), 6, "cosine")
+
+
+NEW_TEXTS = [(-1, "the committee will report on the market and the weather in the capital"), (-2, "zzz no term of these is known zzzz"), (-3, "house water school house music water house")]
+NEW = ", ".join(f"({k}, '{x}')" for k, x in NEW_TEXTS)
+
+
+@query(WEIGHTS + rf"""
+, q AS (SELECT id, t AS term, count(*) AS tf FROM (SELECT id, unnest(regexp_split_to_array(lower(txt), '[^\p{{L}}\p{{N}}_]+')) AS t FROM (VALUES {NEW}) t(id, txt)) GROUP BY 1, 2)
+, qr AS (SELECT id, term, q.tf * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS raw FROM q JOIN df USING (term), n)
+, qw AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM qr)
+SELECT qw.id AS a, w.doc_id AS b, round(sum(qw.weight * w.weight), 6) AS cosine FROM qw JOIN w USING (term) GROUP BY 1, 2""")
+def new_text_cosine(spark, d):
+    """New texts, weighed by the vocabulary and frequencies of the corpus, against all its documents."""
+    counts = top_counts(spark, d)
+    fit = text.idf(counts, documents(spark, d).agg(F.count(F.lit(1)).alias("n")))
+    new = spark.createDataFrame(NEW_TEXTS, "doc_id long, text string")
+    queries = text.weighted(text.term_counts(new, "doc_id", "text", known=F.broadcast(fit)), "doc_id", fit)  # at most 100 terms
+    return rounded(text.similarities(text.weighted(counts, "doc_id", fit), "doc_id", queries=queries), 6, "cosine")
+
+
+@query(WEIGHTS + " SELECT a.doc_id AS a, b.doc_id AS b, round(sum(a.weight * b.weight), 6) AS cosine FROM w a JOIN w b USING (term) WHERE a.doc_id % 50 = 0 AND b.doc_id % 50 = 0 AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING sum(a.weight * b.weight) >= 0.3")
+def document_matrix(spark, d):
+    """The matrix of similarities of a stated set of documents, where it is at least 0.3."""
+    return rounded(text.similarities(weights(spark, d).where("doc_id % 50 = 0"), "doc_id", 0.3), 6, "cosine")
 
 
 SIMILAR_LABELS = """
@@ -114,6 +138,7 @@ def rules_lift(spark, d):
     return rounded(baskets.rules(baskets.itemsets(brand_baskets(spark, d), 0.01, max_length=2), 0.1), 6, "support", "confidence", "lift")
 
 
+# Five baskets whose itemsets are well known.
 MEALS = [["Milk", "Onion", "Nutmeg", "Kidney Beans", "Eggs", "Yogurt"], ["Dill", "Onion", "Nutmeg", "Kidney Beans", "Eggs", "Yogurt"], ["Milk", "Apple", "Kidney Beans", "Eggs"], ["Milk", "Unicorn", "Corn", "Kidney Beans", "Yogurt"], ["Corn", "Onion", "Kidney Beans", "Ice cream", "Eggs"]]
 VALUES = ", ".join(f"({k}, '{x}')" for k, xs in enumerate(MEALS) for x in xs)
 SETS = f"""b AS (SELECT * FROM (VALUES {VALUES}) t(id, item)), one AS (SELECT [item] AS items, count(*)::BIGINT AS freq FROM b GROUP BY 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,10 @@ class UnsupportedFormat(ValueError):
     """The file's extension is none that can be read."""
 
 
+class MissingFile(FileNotFoundError):
+    """There is nothing at the path."""
+
+
 class InvalidData(ValueError):
     """A value that should be a number isn't one."""
 
@@ -40,12 +45,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 def read_numbers(spark: SparkSession, path: str) -> DataFrame:
     """All numbers of a .txt (parted by white space) or .csv file (ragged lines allowed), a row each in column value.
 
-    Raises UnsupportedFormat for other files and InvalidData where something isn't a number.
+    Raises UnsupportedFormat for other files, MissingFile where there is none and InvalidData where something isn't a number.
     """
     if not path.endswith((".txt", ".csv")):
         raise UnsupportedFormat(path)
     parts = F.split(F.trim("value"), r"\s+" if path.endswith(".txt") else r"\s*,\s*")
-    words = spark.read.text(path).select(F.explode(parts).alias("word")).where("word <> ''")
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise MissingFile(path) from error
+        raise
+    words = lines.select(F.explode(parts).alias("word")).where("word <> ''")
     numbers = words.select("word", F.expr("try_cast(word AS double)").alias("value"))
     bad = numbers.where("value IS NULL").select("word").head(1)
     if bad:

@@ -1,6 +1,7 @@
 """Goldens worked out by hand, properties, null semantics and independence of partitions."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import arrays as A
 from tablewright.functions import scalars as S
 from tablewright.operators import baskets, cluster, metrics, models, prep, profile, select, split, text, timeseries
+from tablewright.operators import quantiles as Q
 from tablewright.sources import readers, sinks
 
 
@@ -125,10 +127,9 @@ def test_splits_do_not_depend_on_partitions(spark, partitions):
 @pytest.mark.parametrize("chunk", [1, 3, 1000])
 def test_series_across_chunks(spark, chunk):
     df = spark.range(20).select("id", F.pow("id", F.lit(2)).alias("v"))
-    bucket = F.floor(F.col("id") / 6)
-    out = {r.id: (r.next_value, r.target) for r in timeseries.next_value_target(df, "v", ["id"], bucket, chunk).collect()}
+    out = {r.id: (r.next_value, r.target) for r in timeseries.next_value_target(df, "v", ["id"], chunk).collect()}
     assert len(out) == 20 and out[3] == (16.0, 1) and out[19] == (None, 0)
-    windows = timeseries.sliding_windows(df, "v", ["id"], bucket, 4, chunk).collect()
+    windows = timeseries.sliding_windows(df, "v", ["id"], 4, chunk).collect()
     assert len(windows) == 16
     assert all(r.window == [float((r.id - k) ** 2) for k in (4, 3, 2, 1)] and r.target == r.id**2 for r in windows)
 
@@ -206,3 +207,74 @@ def test_nearest_neighbours_break_ties_by_key(spark):
     found = models.neighbours(df.where("id = 1"), df.where("id > 1"), "id", "v", "y", 2)
     assert [(r.place, r.label) for r in found.orderBy("place").collect()] == [(1, 7), (2, 6)]
     assert models.vote(found, 2).first().predicted == 6
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 100])
+def test_quantiles_of_groups(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(Q, "ACCURACY", accuracy)
+    rng = random.Random(21)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, float("inf"), rng.gauss(0, 1), rng.randint(0, 3) * 1.0]), rng.gauss(5, 2)) for _ in range(3000)] + [("c", None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    at = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+    found = {(r.g, r.column): r["values"] for r in Q.quantiles(df, ["x", "y"], at, ["g"]).collect()}
+    for g in ("a", "b", None, "c"):
+        for k, c in ((1, "x"), (2, "y")):
+            own = [r[k] for r in rows if r[0] == g and r[k] is not None]
+            if not own:
+                assert (g, c) not in found
+                continue
+            own.sort()
+            for p, v in zip(at, found[g, c]):
+                i = p * (len(own) - 1)
+                low, high = own[math.floor(i)], own[math.ceil(i)]
+                assert v == pytest.approx(low + (high - low) * (i % 1)) or (math.isinf(low) and not math.isfinite(v))
+    assert quantiles(df.limit(0), ["x"], [0.5]).count() == 0
+
+
+def test_places_over_many_buckets(spark):
+    rng = random.Random(22)
+    rows = [(rng.choice([None, rng.randint(0, 50)]), k, rng.choice(["x", "yy", "", "x\u00e9"])) for k in range(500)]
+    df = spark.createDataFrame(rows, "a int, k int, s string").repartition(5)
+    for first in ("a", "s"):
+        out = split.with_place(df, [first, "k"], 20).collect()
+        order = sorted(rows, key=lambda r: ((r[0] is not None, r[0] or 0) if first == "a" else r[2].encode(), r[1]))
+        assert [(r.a, r.k) for r in sorted(out, key=lambda r: r["__place"])] == [(r[0], r[1]) for r in order]
+
+
+def test_itemsets_level_by_level(spark):
+    rng = random.Random(23)
+    rows = [(k, rng.sample("abcdefgh", rng.randint(0, 6))) for k in range(80)]
+    df = spark.createDataFrame(rows, "id int, items array<string>")
+    key = lambda out: sorted((tuple(r["items"]), r.freq) for r in out.collect())
+    whole = key(baskets.itemsets(df, 0.1))
+    for n in (1, 2, 3):
+        assert key(baskets.itemsets(df, 0.1, n)) == [x for x in whole if len(x[0]) <= n]
+    assert max(len(x[0]) for x in whole) >= 3
+
+
+def test_svms_beat_the_majority(spark):
+    rng = random.Random(24)
+    rows = [(rng.uniform(-1, 1), rng.uniform(-1, 1)) for _ in range(500)]
+    df = spark.createDataFrame([(x, y, float(x - 2 * y > 0), float(x * x + y * y < 0.6)) for x, y in rows], "x double, y double, side double, ring double").repartition(2).cache()
+    train, test = df.where("x < 0.6"), df.where("x >= 0.6")
+    right = lambda model, label, of=test: metrics.accuracy(model.transform(of), label, "prediction").first()[0]
+    plain = cluster.assembled(train, ["x", "y"])
+    assert right(models.linear_svm("side").fit(plain), "side", cluster.assembled(test, ["x", "y"])) > 0.93
+    for kernel in ("rbf", "poly"):
+        model = models.kernel_svm(df, ["x", "y"], "ring", kernel, reg=0.0001)
+        assert right(model, "ring", df) > 0.93
+        assert model.transform(df).where("probability IS NULL").count() == 0
+    assert right(models.linear_svm("ring").fit(cluster.assembled(df, ["x", "y"])), "ring", cluster.assembled(df, ["x", "y"])) < 0.8
+    df.unpersist()
+
+
+def test_components_are_those_of_the_covariance(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(25)
+    x = rng.normal(size=(200, 4)) @ rng.normal(size=(4, 4)) + 7
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ["a", "b", "c", "d"])
+    found = np.array([r.components.toArray() for r in models.pca(["a", "b", "c", "d"], 2).fit(df).transform(df).collect()])
+    centred = x - x.mean(axis=0)
+    _, _, v = np.linalg.svd(centred, full_matrices=False)
+    assert np.allclose(np.sort(np.abs(found), axis=0), np.sort(np.abs(centred @ v[:2].T), axis=0), atol=1e-6)

@@ -28,8 +28,10 @@ SHAPES = {
     "logistic_model": (1, {"accuracy"}),
     "tree_models": (3, {"model", "accuracy"}),
     "regressions": (2, {"model", "rmse", "mae", "r2"}),
-    "grid_search": (1, {"accuracy"}),
-    "validated_search": (4, {"trees", "depth", "accuracy"}),
+    "grid_search": (1, {"c", "gamma", "points", "accuracy"}),
+    "linear_svm_model": (1, {"accuracy"}),
+    "kernel_svms": (2, {"kernel", "accuracy"}),
+    "validated_search": (81, {"trees", "depth", "leaf", "seed", "rmse"}),
     "window_forecast": (1, {"mse", "rmse", "mae", "r2"}),
     "saved_model": (1, {"doc_id", "prediction", "probability"}),
     "decision_mesh": (121, {"symbols", "capitals", "prediction"}),
