@@ -7,7 +7,7 @@
 3. Classes with the same most widely held shingle are similar and form a group. Each is compared with its group's
    leader, the class that shares the largest part of its prefix: one comparison a class, which links most copies.
 4. What is left are links between classes that aren't connected yet. Groups are split to at most about GROUP_DOCS
-   classes, those linked with their leader apart from the others. The matrix, which shingle is in which group's union,
+   classes of about the same size, those linked with their leader apart from the others. The matrix, which shingle is in which group's union,
    is stored for shingles that unconnected classes hold. Joined with the prefixes of the classes it gives how many
    shingles of a class are in a group's union, which bounds what it can have in common with any member. Only where that
    and the sizes allow a link is the group opened and the class compared with each of its members; groups of classes
@@ -232,30 +232,40 @@ def linked(documents: DataFrame, pairs: DataFrame, words: int, percent: int) ->
     return own.join(leaders.hint("merge"), "l_rep").mapInArrow(compare, f"c long, u {kind.simpleString()}, v {kind.simpleString()}")
 
 
+def band_of(n: Column) -> Column:
+    """A number that rises with the size of a set, by one for every tenth more."""
+    return F.floor(F.log(F.greatest(n, F.lit(1))) / F.log(F.lit(1.1)))
+
+
 def grouped(shared: DataFrame, stars: DataFrame, roots: DataFrame) -> DataFrame:
     """shared with comp, the component so far, and gid: its group, of at most about GROUP_DOCS classes."""
     df = shared.join(roots, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")
     df = df.join(stars.select("c", F.lit(True).alias("linked")), "c", "left").fillna(False, ["linked"])
-    df = df.withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.1))))
+    df = df.withColumn("band", band_of(F.col("n")))
     sizes = df.groupBy("key", "linked", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_DOCS), F.ceil(F.sum("n") / GROUP_SHINGLES)).alias("parts"))
     df = df.join(sizes.where("parts > 1"), ["key", "linked", "band"], "left")
     part = F.pmod(F.xxhash64("c"), F.coalesce("parts", F.lit(1)))
-    return df.select("c", "rep", "a", "b", "n", "tokens", "comp", F.xxhash64("key", "linked", "band", part).alias("gid"))
+    return df.select("c", "rep", "a", "b", "n", "tokens", "comp", "band", F.xxhash64("key", "linked", "band", part).alias("gid"))
 
 
 def matrix_of(members: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
-    """Postings (token, c, comp, gid) of shingles that classes of several components hold, and the matrix (token, gid)."""
-    postings = members.select("c", "comp", "gid", F.explode("tokens").alias("token"))
+    """Postings (token, c, n) of shingles that classes of several components hold, and the matrix (token, band, gid)."""
+    postings = members.select("c", "n", "comp", "band", "gid", F.explode("tokens").alias("token"))
     several = postings.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
-    postings = keep(postings.join(several.hint("merge"), "token"))
-    return postings, keep(postings.select("token", "gid").distinct())
+    postings = keep(postings.drop("comp").join(several.hint("merge"), "token"))
+    return postings.select("token", "c", "n"), keep(postings.select("token", "band", "gid").distinct())
 
 
 def qualifying(members: DataFrame, keep: Keep, percent: int) -> DataFrame:
-    """(c, gid): classes and the groups that may have a member that is linked with them but not connected yet."""
+    """(c, gid): classes and the groups that may have a member that is linked with them but not connected yet.
+
+    A class meets groups of the bands in which sets of a size that allows a link are, and no others.
+    """
     postings, matrix = matrix_of(members, keep)
+    bands = F.sequence(band_of(F.ceil(F.col("n") * percent / 100)), band_of(F.floor(F.col("n") * 100 / percent)))
+    postings = postings.select("token", "c", F.explode(bands).alias("band"))
     groups = members.groupBy("gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("first"))
-    bounds = postings.select("token", "c").join(matrix, "token").groupBy("c", "gid").agg(F.count(F.lit(1)).alias("common"))
+    bounds = postings.join(matrix, ["token", "band"]).groupBy("c", "gid").agg(F.count(F.lit(1)).alias("common"))
     df = bounds.join(members.select("c", "n", "comp"), "c").join(groups, "gid")
     n, low, high = F.col("n"), F.greatest("least", F.col("n") * percent / 100.0), F.least("most", F.col("n") * 100.0 / percent)
     enough = F.col("common") >= F.least(in_common(n, low, percent), in_common(n, high, percent)) - 1e-6
