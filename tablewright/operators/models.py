@@ -83,7 +83,7 @@ def fourier_features(columns: Sequence[str], n: int = 64, gamma: float = 1.0, se
     return [f"cos({angle(k)}) * {np.sqrt(2 / n):.17g}D AS rff{k}" for k in range(n)]
 
 
-def kernel_svm(df: DataFrame, columns: Sequence[str], label: str, kernel: str = "rbf", gamma: float = 1.0, degree: int = 3, reg: float = 0.01, seed: int = 42) -> PipelineModel:
+def kernel_svm(df: DataFrame, columns: Sequence[str], label: str, kernel: str = "rbf", gamma: float = 1.0, degree: int = 3, reg: float = 0.01, seed: int = 42, max_iter: int = 50) -> PipelineModel:
     """An approximate kernel SVM with probabilities; transform() wants the columns and adds prediction and probability."""
     if kernel == "rbf":
         made = fourier_features(columns, gamma=gamma, seed=seed)
@@ -91,8 +91,8 @@ def kernel_svm(df: DataFrame, columns: Sequence[str], label: str, kernel: str =
         stages = [SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__"), VectorAssembler(inputCols=names, outputCol="__kernel")]
     else:
         stages = [VectorAssembler(inputCols=list(columns), outputCol="__plain"), PolynomialExpansion(degree=degree, inputCol="__plain", outputCol="__kernel")]
-    svm = LinearSVC(featuresCol="__kernel", labelCol=label, regParam=reg, maxIter=50, predictionCol="__side", rawPredictionCol="__margin")
-    platt = LogisticRegression(featuresCol="__margin", labelCol=label)
+    svm = LinearSVC(featuresCol="__kernel", labelCol=label, regParam=reg, maxIter=max_iter, predictionCol="__side", rawPredictionCol="__margin")
+    platt = LogisticRegression(featuresCol="__margin", labelCol=label, maxIter=max_iter)
     return Pipeline(stages=[*stages, svm, platt]).fit(df)
 
 
@@ -160,6 +160,11 @@ def searched(train: DataFrame, valid: DataFrame, make, values: Mapping[str, Sequ
         yield from zip(points, pool.map(lambda p: evaluate(make(**p).fit(train).transform(valid)), points))
 
 
+def sized(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """df in as many partitions as its rows call for, so that the many short jobs of a fit aren't all scheduling."""
+    return df.coalesce(max(1, -(-df.count() // rows)))
+
+
 def each_of(points: Sequence, evaluate, parallel: int = 4) -> list:
     """evaluate(point) of each point, in order."""
     with ThreadPoolExecutor(parallel) as pool:

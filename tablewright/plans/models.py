@@ -294,9 +294,10 @@ def grid_search(spark, d):
     """Two-fold search of nine points (C and gamma) of a kernel SVM, refitted on all training rows."""
     *_, train, test = parts(spark, d)
     scale = lambda df: df.withColumn("chars", F.log1p("chars") / 10).withColumn("fold", F.crc32(F.concat("doc_id", F.lit("fold"))) % 2)
-    rows, unseen = scale(train).cache(), scale(test)
+    rows, unseen = models.sized(scale(train)).cache(), scale(test)
     try:
-        fit = lambda df, c, gamma: models.kernel_svm(df, NUMBERS, "label", "rbf", gamma=gamma, reg=1 / (c * 1000))
+        n = rows.count()
+        fit = lambda df, c, gamma: models.kernel_svm(df, NUMBERS, "label", "rbf", gamma=gamma, reg=1 / (c * n), max_iter=10)
         score = lambda k, p: metrics.accuracy(fit(rows.where(F.col("fold") != k), **p).transform(rows.where(F.col("fold") == k)), "label", "prediction").first()[0]
         points = [{"c": c, "gamma": g} for c in (0.1, 1.0, 10.0) for g in (0.1, 1.0, 10.0)]
         found = models.each_of(points, lambda p: sum(score(k, p) for k in (0, 1)) / 2)
@@ -310,7 +311,7 @@ def grid_search(spark, d):
 def validated_search(spark, d):
     """Scores of each of 81 points of a grid of a forest regressor, on rows apart from those of the fit."""
     df = cluster.assembled(read_table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice", (F.length("p_name")).alias("name")), ["p_size", "name"]).select("features", F.col("p_retailprice").alias("label"), (F.crc32(F.col("p_partkey").cast("string")) % 10).alias("part"))
-    df = df.cache()
+    df = models.sized(df).cache()
     try:
         train, valid = df.where("part >= 3"), df.where("part < 3")
         grid = {"trees": [2, 4, 6], "depth": [2, 3, 4], "leaf": [1, 2, 4], "seed": [1, 2, 3]}

@@ -228,7 +228,7 @@ def test_quantiles_of_groups(spark, monkeypatch, accuracy):
                 i = p * (len(own) - 1)
                 low, high = own[math.floor(i)], own[math.ceil(i)]
                 assert v == pytest.approx(low + (high - low) * (i % 1)) or (math.isinf(low) and not math.isfinite(v))
-    assert quantiles(df.limit(0), ["x"], [0.5]).count() == 0
+    assert Q.quantiles(df.limit(0), ["x"], [0.5]).count() == 0
 
 
 def test_places_over_many_buckets(spark):
