@@ -81,7 +81,7 @@ def candidates(lines: DataFrame, forms: DataFrame, documents: DataFrame, tempora
     # Keeps most documents out of the shuffle while candidates are few.
     some = documents.select(F.col("doc_id").alias("id"), "text").withColumn("__bucket", bucket_of("id")).join(buckets_of(wanted, "id"), "__bucket", "left_semi")
     own = let(F.split("text", "\n"), lambda lines: F.transform("forms", lambda x: F.struct(x["form"].alias("form"), F.get(lines, x["k"]).alias("line"))))
-    found = some.join(wanted, "id").select(F.explode(own).alias("x")).select("x.form.*", plain(F.col("x.line")).alias("plain"))
+    found = some.join(wanted.hint("merge"), "id").select(F.explode(own).alias("x")).select("x.form.*", plain(F.col("x.line")).alias("plain"))
     # A doc_id may have other texts too; repeated rows give a form twice.
     return temporary.staged(found.where((F.xxhash64("plain") == F.col("a")) & (F.xxhash64(F.lit(7), F.col("plain")) == F.col("b"))).dropDuplicates(["a", "b"]))
 
@@ -146,7 +146,8 @@ def with_kept_text(df: DataFrame) -> DataFrame:
     concerned = buckets_of(dropped, "__id")
     df = df.withColumn("__bucket", bucket_of("doc_id"))
     apart = df.join(concerned, "__bucket", "left_anti").withColumns({c: F.lit(None).cast("array<int>") for c in ("__exact", "__near")})
-    near = df.join(concerned, "__bucket", "left_semi").join(dropped, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    # Merged at every size: what is dropped grows with the corpus, so a broadcast would only ever serve small ones.
+    near = df.join(concerned, "__bucket", "left_semi").join(dropped.hint("merge"), F.col("doc_id") == F.col("__id"), "left").drop("__id")
     df = near.unionByName(apart).drop("__bucket").withColumns({c: F.coalesce(c, none) for c in ("__exact", "__near")})
     gone = F.array_union("__exact", "__near")
     # The numbers that stay are found by one pass over each list.
