@@ -64,19 +64,33 @@ def number_of(df: DataFrame, column: str) -> Column:
         return F.unix_date(column).cast("double")
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column).cast("double")
-    return F.col(column).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # Whole seconds by the clock that the value shows, so no time zone comes in.
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        return (F.unix_date(F.col(column).cast("date")).cast("long") * 86_400 + seconds).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return F.col(column).cast("int").cast("double")
+    if isinstance(kind, T.BinaryType):
+        return F.conv(F.rpad(F.hex(F.substring(column, 1, 6)), 12, "0"), 16, 10).cast("double")
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    raise TypeError(f"series can't be ordered by {column}, of type {kind.simpleString()}")
 
 
-def with_place(df: DataFrame, order: Sequence[str], rows_a_bucket: int = 100_000) -> DataFrame:
+#: Rows that one task puts in order.
+ROWS_A_BUCKET = 100_000
+
+
+def with_place(df: DataFrame, order: Sequence[str], rows_a_bucket: int | None = None) -> DataFrame:
     """Adds __place: the row's number from 1 in the order (nulls first).
 
-    Rows are dealt to buckets by ranges of the first column, as many as give about rows_a_bucket rows each (at most 4,096
-    bounds, from a sketch), and numbered within; the count of rows in earlier buckets is added. So the table is never
+    Rows are dealt to buckets by ranges of the first column, as many as give about rows_a_bucket rows each (ROWS_A_BUCKET
+    if not given; at most 4,096 bounds, from a sketch), and numbered within; the count of rows in earlier buckets is added. So the table is never
     sorted in one task, however large; rows that are equal in the first column share one.
     """
     x = number_of(df, order[0])
     n = df.count()
-    parts = min(4096, -(-n // rows_a_bucket))
+    parts = min(4096, -(-n // (rows_a_bucket or ROWS_A_BUCKET)))
     bounds = df.agg(F.percentile_approx(x, [k / parts for k in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
     bounds = sorted(set(bounds or []))
     if bounds:

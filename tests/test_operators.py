@@ -241,6 +241,20 @@ def test_places_over_many_buckets(spark):
         assert [(r.a, r.k) for r in sorted(out, key=lambda r: r["__place"])] == [(r[0], r[1]) for r in order]
 
 
+def test_places_of_every_type(spark):
+    rng = random.Random(24)
+    rows = [(k, rng.choice([None, rng.randint(-9, 9)])) for k in range(300)]
+    df = spark.createDataFrame(rows, "k int, n int").repartition(5)
+    kinds = ["cast(n as decimal(30,4))", "n > 0", "timestamp_ntz '1969-12-31 23:00:00' + make_interval(0,0,0,0,n)", "timestamp '2024-03-31 00:00:00' + make_interval(0,0,0,0,n)", "date '1970-01-01' + n", "cast(cast(100 + n as string) as binary)", "cast(n as float)"]
+    for kind in kinds:
+        out = split.with_place(df.withColumn("x", F.expr(kind)), ["x", "k"], 20).orderBy("__place").collect()
+        assert [r["__place"] for r in out] == list(range(1, 301))
+        key = [((r.x is not None, r.x or 0) if not isinstance(r.x, bytes | bytearray) and not hasattr(r.x, "year") else (True, r.x) if r.x is not None else (False,), r.k) for r in out]
+        assert key == sorted(key)
+    with pytest.raises(TypeError):
+        split.with_place(df.withColumn("x", F.array("n")), ["x"], 20)
+
+
 def test_itemsets_level_by_level(spark):
     rng = random.Random(23)
     rows = [(k, rng.sample("abcdefgh", rng.randint(0, 6))) for k in range(80)]

@@ -2,6 +2,7 @@
 
 import pytest
 
+from tablewright.operators import split
 from tablewright.plans import registry
 
 from .oracle import connected, same
@@ -19,6 +20,16 @@ def test_twin(spark, duck, name):
     same(registry.queries()[name](spark, DIRECTORY), duck, registry.oracle_sql()[name])
 
 
+#: Those whose rows get places in an order.
+ORDERED = ("next_value_target", "sliding_window", "pct_change", "sequential_split")
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_ordered_twin_in_many_buckets(spark, duck, name, monkeypatch):
+    monkeypatch.setattr(split, "ROWS_A_BUCKET", 20)
+    same(registry.queries()[name](spark, DIRECTORY), duck, registry.oracle_sql()[name])
+
+
 SHAPES = {
     "random_numbers": (100, {"id", "uniform", "normal", "whole"}),
     "f_regression_p": (4, {"feature", "f", "p"}),
