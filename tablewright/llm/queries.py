@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from . import sql
 from .common import table
 from .decontamination import decontamination
+from .fill_in_middle import fill_in_middle
+from .importance_resampling import importance_resampling
 from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .ngram_jaccard import ngram_jaccard
@@ -76,6 +78,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -88,6 +98,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_license_scan": op9_license_scan,
         "op10_secret_scan": op10_secret_scan,
+        "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_importance_resampling": op12_importance_resampling,
     }
 
 
@@ -100,4 +112,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_source_mixing": sql.source_mixing_sql(),
         "op7_ngram_jaccard": sql.ngram_jaccard_sql(),
         "op10_secret_scan": sql.secret_scan_sql(),
+        "op11_fill_in_middle": sql.fill_in_middle_sql(),
+        "op12_importance_resampling": sql.importance_resampling_sql(),
     }

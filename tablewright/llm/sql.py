@@ -183,3 +183,38 @@ WITH RECURSIVE d AS (SELECT doc_id, {split} AS w FROM documents)
 , reach AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.y, reach.root FROM reach JOIN e ON e.x = reach.node)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, root AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) ON node = d.doc_id"""
+
+
+def fill_in_middle_sql() -> str:
+    part = lambda k: f"('0x' || substr(digits, {8 * k + 1}, 8))::BIGINT"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digits FROM documents)
+, h AS (SELECT *, least({part(0)} % (n + 1), {part(1)} % (n + 1)) AS a, greatest({part(0)} % (n + 1), {part(1)} % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR {part(2)} % 100 >= 90 THEN 'plain' WHEN {part(3)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d)
+, p AS (SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p"""
+
+
+def importance_resampling_sql(percent: int = 5, min_words: int = 20, buckets: int = 10_000) -> str:
+    words = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    runs = " UNION ALL ".join(f"SELECT side, rid, array_to_string(w[i:i + {k - 1}], ' ') AS run FROM (SELECT side, rid, w, unnest(range(1, len(w) - {k - 2})) AS i FROM texts WHERE len(w) >= {k})" for k in (1, 2, 3))
+    # crc32 a byte at a time, by the 256 remainders of its polynomial.
+    return f"""
+WITH remainders AS MATERIALIZED (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS r FROM range(256) t(i))
+, texts AS (SELECT 's' AS side, row_number() OVER () AS rid, doc_id, {words} AS w FROM documents UNION ALL SELECT 't', 0, NULL, {words} FROM benchmark)
+, runs AS MATERIALIZED ({runs})
+, hashed AS MATERIALIZED (
+  SELECT run, xor(list_reduce(list_transform(range(strlen(run)), lambda k: ('0x' || substr(hex(run), 2 * k + 1, 2))::BIGINT), lambda c, b: xor(c >> 8, r[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % {buckets} AS bucket
+  FROM (SELECT DISTINCT run FROM runs), remainders)
+, counts AS (SELECT side, rid, bucket, count(*) AS n FROM runs JOIN hashed USING (run) GROUP BY ALL)
+, held AS (SELECT bucket, coalesce(sum(n) FILTER (side = 's'), 0) AS s, coalesce(sum(n) FILTER (side = 't'), 0) AS t FROM counts GROUP BY bucket)
+, gains AS (SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + {buckets})::DOUBLE) / ((s + 1)::DOUBLE * (sum(t) OVER () + {buckets})::DOUBLE)))::BIGINT AS gain FROM held)
+, weights AS (SELECT rid, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM counts JOIN gains USING (bucket) WHERE side = 's' GROUP BY rid)
+, scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM texts LEFT JOIN weights USING (rid) WHERE side = 's')
+SELECT * EXCLUDE (place, total), CASE WHEN n_words >= {min_words} AND place <= {percent} * total // 100 THEN place END AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY n_words >= {min_words} ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= {min_words}) OVER () AS total FROM scored)"""
