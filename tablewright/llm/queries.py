@@ -15,6 +15,7 @@ from .importance_resampling import importance_resampling
 from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .ngram_jaccard import ngram_jaccard
+from .personal_data import personal_data
 from .quality_classifier import quality_classifier
 from .quality_rules import quality_rules
 from .secret_scan import secret_scan
@@ -86,6 +87,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -100,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secret_scan": op10_secret_scan,
         "op11_fill_in_middle": op11_fill_in_middle,
         "op12_importance_resampling": op12_importance_resampling,
+        "op13_personal_data": op13_personal_data,
     }
 
 
@@ -114,4 +120,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_secret_scan": sql.secret_scan_sql(),
         "op11_fill_in_middle": sql.fill_in_middle_sql(),
         "op12_importance_resampling": sql.importance_resampling_sql(),
+        "op13_personal_data": sql.personal_data_sql(),
     }

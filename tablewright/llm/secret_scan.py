@@ -66,18 +66,18 @@ def spans_of(text: Column, rank: int, pattern: str, group: int, least: int) -> C
     return F.when(F.rlike(text, F.lit(pattern)), found.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
-def apart_from(spans: Column, base: Column) -> Column:
-    """Those of spans (of a rank above base's) that touch none of base.
+def apart_from(spans: Column, base: Column, own: int = len(KINDS) - 1) -> Column:
+    """Those of spans (of rank own or above, base's are below) that touch none of base.
 
     All are put in order of their starts. A span touches one of base if one that begins no later ends behind its start,
     or the next one that begins later does so before its end.
     """
-    own = F.lit(len(KINDS) - 1)
+    own = F.lit(own)
     far = F.lit(2**31 - 1)
     ends = lambda s: let(F.transform(s, lambda x: F.when(x["rank"] < own, x["end"]).otherwise(0)), lambda x: running(x, F.greatest))
     # From the back, and turned round again.
     starts = lambda s: F.reverse(let(F.reverse(F.transform(s, lambda x: F.when(x["rank"] < own, x["start"]).otherwise(far))), lambda x: running(x, F.least)))
-    free = lambda s, e, b: F.filter(s, lambda x, i: (x["rank"] == own) & (F.get(e, i) <= x["start"]) & (F.get(b, i) >= x["end"]))
+    free = lambda s, e, b: F.filter(s, lambda x, i: (x["rank"] >= own) & (F.get(e, i) <= x["start"]) & (F.get(b, i) >= x["end"]))
     merged = let(F.sort_array(F.concat(spans, base)), lambda s: let(ends(s), lambda e: let(starts(s), lambda b: free(s, e, b))))
     return F.when((F.size(spans) > 0) & (F.size(base) > 0), merged).otherwise(spans)
 

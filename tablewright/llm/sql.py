@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import personal_data as P
 from .quality_rules import FLOWING, N_COMMON, OTHERS
 from .secret_scan import KINDS
 
@@ -218,3 +219,56 @@ WITH remainders AS MATERIALIZED (SELECT list(list_reduce(range(8), lambda c, k:
   FROM texts LEFT JOIN weights USING (rid) WHERE side = 's')
 SELECT * EXCLUDE (place, total), CASE WHEN n_words >= {min_words} AND place <= {percent} * total // 100 THEN place END AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY n_words >= {min_words} ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= {min_words}) OVER () AS total FROM scored)"""
+
+
+# The plain patterns, in which a search needs no look-behind.
+PERSONAL = (
+    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", f"regexp_matches(v, '{P.IP_PARTS}')"),
+    (r"[0-9]([\x20-]?[0-9])+", "length(d) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN (length(d) - i) % 2 = 1 THEN 2 * d[i]::INT - CASE WHEN d[i]::INT > 4 THEN 9 ELSE 0 END ELSE d[i]::INT END)) % 10 = 0"),
+    (r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 9 AND 15"),
+    (r"[0-9][0-9\x20().-]{5,}[0-9]", "length(d) BETWEEN 7 AND 19"),
+    (r"[A-Za-z0-9._%+-]+(@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9.-]+", "true"),
+    (r"[A-Z]{1,4}-?[0-9]{6,}", "true"),
+)
+
+
+def personal_data_sql(rounds: int = P.ROUNDS, min_trusted: int = P.MIN_TRUSTED, min_confidence: float = P.MIN_CONFIDENCE) -> str:
+    lowered = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    kinds = "\n  UNION ALL ".join(f"SELECT rid, {rank} AS rank, regexp_split_to_array(text, '{p}') AS pieces, regexp_extract_all(text, '{p}', 0) AS ms FROM d WHERE regexp_matches(text, '{p}')" for rank, (p, _) in enumerate(PERSONAL))
+    checks = " ".join(f"WHEN {rank} THEN {check}" for rank, (_, check) in enumerate(PERSONAL))
+    names = "[" + ", ".join(f"'{x}{k}'" for x in ("", "context_") for k, _ in P.BASE) + "]"
+    label = f"{names}[rank + 1] || ':' || s || ':' || e"
+    steps = ""
+    for k in range(rounds):
+        steps += f"""
+, trusted{k} AS (SELECT pattern, kind, round(sum(score) / (max(n) + 1), 9) AS confidence FROM edges JOIN found{k} USING (value) GROUP BY pattern, kind HAVING count(*) >= {min_trusted} AND round(sum(score) / (max(n) + 1), 9) >= {min_confidence})
+, found{k + 1} AS MATERIALIZED (SELECT * FROM seeds UNION ALL SELECT value, kind, max(confidence) FROM edges JOIN trusted{k} USING (pattern) JOIN possible USING (value, kind) GROUP BY value, kind)"""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents)
+, matched AS ({kinds})
+, each AS (
+  SELECT rid, rank, m AS v, regexp_replace(m, '[^0-9]', '', 'g') AS d, length(m) AS n, (sum(length(piece)) OVER w + coalesce(sum(length(m)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS s,
+    list_concat(['', ''], regexp_extract_all({lowered(f"right(piece, {P.REACH})")}, '{P.WORD}'))[-2:] AS before, coalesce(regexp_extract_all({lowered(f"left(following, {P.REACH})")}, '{P.WORD}')[1], '') AS after
+  FROM (SELECT rid, rank, unnest(pieces[:len(ms)]) AS piece, unnest(pieces[2:]) AS following, unnest(ms) AS m, unnest(range(len(ms))) AS k FROM matched) WINDOW w AS (PARTITION BY rid, rank ORDER BY k))
+, spans AS MATERIALIZED (SELECT rid, rank, s, s + n AS e, v, d, before, after FROM each WHERE CASE rank {checks} END)
+, kept AS MATERIALIZED (
+  SELECT *, CASE WHEN rank IN ({P.CARD}, {P.PHONE}, {P.NUMBER}) THEN d ELSE lower(v) END AS value
+  FROM spans a WHERE rank < {P.FIRST_FORM} OR NOT EXISTS (SELECT 1 FROM spans b WHERE b.rid = a.rid AND b.rank < {P.FIRST_FORM} AND b.s < a.e AND a.s < b.e))
+, linked AS (
+  SELECT value, [1::VARCHAR, before[2]] AS pattern FROM kept WHERE before[2] <> '' UNION SELECT value, ['2', before[1], before[2]] FROM kept WHERE before[1] <> '' AND before[2] <> ''
+  UNION SELECT value, ['3', after] FROM kept WHERE after <> '' UNION SELECT value, ['4', before[2], after] FROM kept WHERE before[2] <> '' AND after <> '')
+, edges AS MATERIALIZED (SELECT pattern, value, n FROM linked JOIN (SELECT pattern, count(*) AS n FROM linked GROUP BY pattern HAVING count(*) >= {min_trusted}) USING (pattern))
+, seeds AS MATERIALIZED (SELECT DISTINCT value, rank AS kind, 1.0::DOUBLE AS score FROM kept WHERE rank < {P.FIRST_FORM})
+, possible AS MATERIALIZED (
+  SELECT DISTINCT value, kind FROM (SELECT value, unnest(list_filter([CASE WHEN rank = {P.ADDRESS} THEN {P.EMAIL} END, CASE WHEN rank = {P.NUMBER} AND length(d) >= 12 OR rank = {P.CODE} THEN {P.CARD} END, CASE WHEN rank = {P.NUMBER} AND length(d) <= 15 THEN {P.PHONE} END], lambda x: x IS NOT NULL)) AS kind FROM kept WHERE rank >= {P.FIRST_FORM})
+  ANTI JOIN seeds USING (value, kind))
+, found0 AS (SELECT * FROM seeds)
+{steps}
+, best AS (SELECT value, arg_max(kind, (score, -kind)) AS kind FROM found{rounds} SEMI JOIN possible USING (value, kind) GROUP BY value)
+, shown AS (SELECT rid, rank, s, e FROM kept WHERE rank < {P.FIRST_FORM} UNION ALL SELECT rid, kind + {len(P.BASE)}, s, e FROM kept JOIN best USING (value) WHERE rank >= {P.FIRST_FORM})
+, agg AS (
+  SELECT rid, {", ".join(f"count(*) FILTER (rank = {k}) AS n_{name}" for k, (name, _) in enumerate(P.BASE))}, count(*) FILTER (rank >= {len(P.BASE)}) AS n_context,
+    string_agg({label}, ',' ORDER BY rank, s) FILTER (rank < {len(P.BASE)}) AS base, string_agg({label}, ',' ORDER BY rank, s, e) AS spans FROM shown GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{name}, 0)::BIGINT AS n_{name}" for name in (*(k for k, _ in P.BASE), "context"))}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN agg USING (rid)"""

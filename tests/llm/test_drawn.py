@@ -23,7 +23,7 @@ def sha(text):
 
 def cut(doc_id, text, unit):
     text = text or ""
-    units = [m.group() for m in re.finditer(f"(?:{unit})|(?s:.)", text)]
+    units = [m.group() for m in re.finditer(f"(?:{unit})|(?s:.)", text, re.ASCII)]
     digits = sha(f"1:{'' if doc_id is None else doc_id}")
     h = [int(digits[8 * k : 8 * k + 8], 16) for k in range(4)]
     n = len(units)
