@@ -115,20 +115,6 @@ def gaussian_nb_predict(df: DataFrame, key: str, features: Sequence[str], classe
     return scored.groupBy(key).agg(F.max(F.struct("__ll", (-F.col("class")).alias("c"))).alias("m")).select(key, (-F.col("m.c")).alias("predicted"))
 
 
-def neighbours(queries: DataFrame, train: DataFrame, key: str, vector: str, label: str, k: int) -> DataFrame:
-    """(query, place, label): the k nearest training rows of each query by Euclidean distance, ties by key.
-
-    Every query meets every training row, as in the library; the stated query set is the small side. Spark keeps only k
-    rows of each query and task before the shuffle.
-    """
-    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("__q"))
-    t = train.select(F.col(key).alias("__t"), F.col(vector).alias("__v"), F.col(label).alias("label"))
-    d2 = F.aggregate(F.zip_with("__q", "__v", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x)
-    pairs = q.crossJoin(t).select("query", "__t", "label", F.round(d2, 9).alias("__d"))
-    place = F.row_number().over(Window.partitionBy("query").orderBy("__d", "__t"))
-    return pairs.withColumn("place", place).where(F.col("place") <= k).select("query", "place", "label")
-
-
 def vote(found: DataFrame, k: int) -> DataFrame:
     """(query, predicted): the commonest label of the first k neighbours, the smallest of ties."""
     counts = found.where(F.col("place") <= k).groupBy("query", "label").agg(F.count(F.lit(1)).alias("n"))

@@ -8,21 +8,21 @@ from ..functions import arrays as A
 from ..functions import scalars as S
 from ..sources.readers import read_table
 from .profiles import rounded
-from .registry import query
+from .registry import example, query
 
 
 def one(spark):
     return spark.range(1)
 
 
-@query("SELECT [1, 2, 3]::INT[] AS a, 3::INT AS n, 'array<int>' AS type, [0, 0]::DOUBLE[] AS zeros, [[7, 7, 7], [7, 7, 7]]::DOUBLE[][] AS sevens")
+@example("SELECT [1, 2, 3]::INT[] AS a, 3::INT AS n, 'array<int>' AS type, [0, 0]::DOUBLE[] AS zeros, [[7, 7, 7], [7, 7, 7]]::DOUBLE[][] AS sevens")
 def array_construction(spark, d):
     """Arrays, their size and type, filled arrays."""
     a = F.array(*[F.lit(x) for x in (1, 2, 3)])
     return one(spark).select(a.alias("a"), F.size(a).alias("n"), F.typeof(a).alias("type"), A.full((2,), 0.0).alias("zeros"), A.full((2, 3), 7.0).alias("sevens"))
 
 
-@query("SELECT range(2, 10)::INT[] AS plain, range(0, 10, 3)::INT[] AS stepped, [10, 7, 4]::INT[] AS falling, []::INT[] AS none")
+@example("SELECT range(2, 10)::INT[] AS plain, range(0, 10, 3)::INT[] AS stepped, [10, 7, 4]::INT[] AS falling, []::INT[] AS none")
 def array_ranges(spark, d):
     """Ranges without their end."""
     return one(spark).select(A.arange(2, 10).alias("plain"), A.arange(0, 10, 3).alias("stepped"), A.arange(10, 1, -3).alias("falling"), A.arange(5, 2).alias("none"))
@@ -34,27 +34,27 @@ def half_even(spark, d):
     return read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", S.half_even(F.col("l_quantity") / 8, 1).alias("rounded"))
 
 
-@query()
+@example()
 def random_numbers(spark, d):
     """Seeded random numbers."""
     return spark.range(100).select("id", F.rand(7).alias("uniform"), F.randn(7).alias("normal"), F.floor(F.rand(8) * 10).alias("whole"))
 
 
-@query("SELECT [[1, 2, 3], [4, 5, 6]]::INT[][] AS vertical, [1, 2, 3, 4, 5, 6]::INT[] AS horizontal, [[1, 4], [2, 5], [3, 6]]::INT[][] AS columns")
+@example("SELECT [[1, 2, 3], [4, 5, 6]]::INT[][] AS vertical, [1, 2, 3, 4, 5, 6]::INT[] AS horizontal, [[1, 4], [2, 5], [3, 6]]::INT[][] AS columns")
 def array_stacks(spark, d):
     """Arrays stacked by rows, end to end and by columns."""
     a, b = (F.array(*[F.lit(x) for x in xs]) for xs in ((1, 2, 3), (4, 5, 6)))
     return one(spark).select(F.array(a, b).alias("vertical"), F.concat(a, b).alias("horizontal"), F.zip_with(a, b, lambda x, y: F.array(x, y)).alias("columns"))
 
 
-@query("SELECT [4, 5]::INT[] AS both_in, [1, 2, 3]::INT[] AS only_a, [6, 7, 8]::INT[] AS only_b")
+@example("SELECT [4, 5]::INT[] AS both_in, [1, 2, 3]::INT[] AS only_a, [6, 7, 8]::INT[] AS only_b")
 def array_setops(spark, d):
     """Common elements and differences."""
     a, b = (F.array(*[F.lit(x) for x in xs]) for xs in ((1, 2, 3, 4, 5), (4, 5, 6, 7, 8)))
     return one(spark).select(A.intersect(a, b).alias("both_in"), A.difference(a, b).alias("only_a"), A.difference(b, a).alias("only_b"))
 
 
-@query("SELECT [[-4, -5, -6], [-1, -2, -3]]::INT[][] AS less, [2, 4, 6]::INT[] AS doubled, [5, 7, 9]::INT[] AS added")
+@example("SELECT [[-4, -5, -6], [-1, -2, -3]]::INT[][] AS less, [2, 4, 6]::INT[] AS doubled, [5, 7, 9]::INT[] AS added")
 def array_broadcast(spark, d):
     """Element by element, and a row against each row."""
     a, b = F.array(*[F.lit(x) for x in (1, 2, 3)]), F.array(*[F.lit(x) for x in (4, 5, 6)])
@@ -76,7 +76,7 @@ def matmul(spark, d):
     return rounded(A.matmul(labels, vectors), 5, "v")
 
 
-@query("SELECT * FROM (VALUES (0, 0, 76.0), (0, 1, 82.0), (1, 0, 184.0), (1, 1, 199.0), (2, 0, 292.0), (2, 1, 316.0)) t(i, j, v)")
+@example("SELECT * FROM (VALUES (0, 0, 76.0), (0, 1, 82.0), (1, 0, 184.0), (1, 1, 199.0), (2, 0, 292.0), (2, 1, 316.0)) t(i, j, v)")
 def matmul_literal(spark, d):
     """A small product with known cells."""
     a = spark.createDataFrame([(i, j, float(3 * i + j + 1)) for i in range(3) for j in range(3)], "i int, j int, v double")
@@ -84,7 +84,7 @@ def matmul_literal(spark, d):
     return A.matmul(a, b)
 
 
-@query("SELECT * FROM (VALUES (0, 0, 1.0::DOUBLE), (1, 0, 2.0), (0, 1, 3.0), (1, 1, 4.0)) t(i, j, v)")
+@example("SELECT * FROM (VALUES (0, 0, 1.0::DOUBLE), (1, 0, 2.0), (0, 1, 3.0), (1, 1, 4.0)) t(i, j, v)")
 def transpose(spark, d):
     """A transposed matrix."""
     return A.transpose(spark.createDataFrame([(0, 0, 1.0), (0, 1, 2.0), (1, 0, 3.0), (1, 1, 4.0)], "i int, j int, v double"))
@@ -116,13 +116,13 @@ def l2_normalise(spark, d):
     return read_table(spark, d, "embeddings").select("vec_id", F.transform(A.normalised(F.col("embedding")), lambda x: F.round(x, 6)).alias("unit"))
 
 
-@query("SELECT x::INT AS x, y AS y FROM range(3) t(x), (VALUES ('a'), ('b')) u(y)")
+@example("SELECT x::INT AS x, y AS y FROM range(3) t(x), (VALUES ('a'), ('b')) u(y)")
 def mesh(spark, d):
     """All combinations of two short lists."""
     return spark.range(3).select(F.col("id").cast("int").alias("x")).crossJoin(spark.createDataFrame([("a",), ("b",)], "y string"))  # three times two rows
 
 
-@query("""SELECT 10::INT AS first, 40::INT AS last, [10, 20, 30, 40, 50]::INT[] AS appended, [10, 99, 30, 40]::INT[] AS updated, [10, 30, 40]::INT[] AS deleted,
+@example("""SELECT 10::INT AS first, 40::INT AS last, [10, 20, 30, 40, 50]::INT[] AS appended, [10, 99, 30, 40]::INT[] AS updated, [10, 30, 40]::INT[] AS deleted,
   4::INT AS n, [40, 30, 20, 10]::INT[] AS falling, [20, 30]::INT[] AS part, [10, 20, 30, 40, 1, 2]::INT[] AS joined""")
 def list_operations(spark, d):
     """Operations on a list."""
@@ -133,14 +133,14 @@ def list_operations(spark, d):
     )
 
 
-@query("SELECT 'x' AS first, 2::INT AS second, 2::INT AS n")
+@example("SELECT 'x' AS first, 2::INT AS second, 2::INT AS n")
 def tuple_fields(spark, d):
     """A record of fixed fields."""
     t = F.struct(F.lit("x").alias("a"), F.lit(2).alias("b"))
     return one(spark).select(t["a"].alias("first"), t["b"].alias("second"), F.size(F.array(t["a"], t["b"].cast("string"))).alias("n"))
 
 
-@query("""SELECT 1::INT AS got, 9::INT AS put, 5::INT AS updated, false AS deleted_left, 2::INT AS n, ['a', 'b'] AS names, [1, 2]::INT[] AS vals, '{"a":1,"b":2}' AS shown""")
+@example("""SELECT 1::INT AS got, 9::INT AS put, 5::INT AS updated, false AS deleted_left, 2::INT AS n, ['a', 'b'] AS names, [1, 2]::INT[] AS vals, '{"a":1,"b":2}' AS shown""")
 def map_operations(spark, d):
     """Operations on a map."""
     m = F.create_map(F.lit("a"), F.lit(1), F.lit("b"), F.lit(2))
@@ -151,7 +151,7 @@ def map_operations(spark, d):
     )
 
 
-@query("SELECT [3.5, 4.0, 12.25]::DOUBLE[] AS numbers")
+@example("SELECT [3.5, 4.0, 12.25]::DOUBLE[] AS numbers")
 def split_numbers(spark, d):
     """Numbers parted by commas or blanks in one text."""
     words = F.split(F.translate(F.lit("3.5, 4, 12.25"), ",", " "), r"\s+")

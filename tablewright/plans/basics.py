@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..functions import scalars as S
 from ..operators import profile, timeseries
 from ..sources.readers import read_table
-from .registry import query
+from .registry import example, query
 
 
 def month(column: str):
@@ -76,7 +76,7 @@ def column_arithmetic(spark, d):
     return read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(price - price * F.col("l_discount"), 4).alias("net"), F.round(price * (1 + F.col("l_tax")), 4).alias("gross"))
 
 
-@query("""
+@example("""
 SELECT x, y, x + y AS plus, x - y AS minus, x * y AS times, round(x / y::DOUBLE, 6) AS div, floor(x / y::DOUBLE)::BIGINT AS floor_div,
   (x - y * floor(x / y::DOUBLE))::BIGINT AS floor_mod, (x::DOUBLE ^ 2) AS power, x = y AS eq, x <> y AS ne, x > y AS gt, x < y AS lt, x <= y AS le, x >= y AS ge
 FROM (VALUES (7, 3), (-7, 3), (7, -3), (6, 3), (0, 5)) t(x, y)""")
@@ -203,7 +203,7 @@ def pct_change(spark, d):
 WCSS = [(1, 1000.0), (2, 600.0), (3, 400.0), (4, 390.0), (5, 380.0), (6, 372.0), (7, 365.0), (8, 360.0), (9, 250.0)]
 
 
-@query("SELECT 7::INT AS k")
+@example("SELECT 7::INT AS k")
 def stop_rule(spark, d):
     """The number of clusters after three small changes of cost in a row."""
     return timeseries.chosen_k(spark.createDataFrame(WCSS, "k int, cost double")).select(F.col("k").cast("int").alias("k"))
@@ -222,7 +222,7 @@ def text_tests(spark, d):
     return read_table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"), F.startswith("event_type", F.lit("p")).alias("p"), F.endswith("event_type", F.lit("k")).alias("ends"))
 
 
-@query("SELECT unnest(range(0, 10, 2))::BIGINT AS i")
+@example("SELECT unnest(range(0, 10, 2))::BIGINT AS i")
 def counting(spark, d):
     """A counting loop."""
     return spark.range(0, 10, 2).withColumnRenamed("id", "i")

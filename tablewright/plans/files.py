@@ -10,7 +10,7 @@ from ..operators import prep
 from ..session import shared_dir
 from ..sources import readers, sinks
 from ..sources.readers import read_table
-from .registry import query
+from .registry import example, query
 from .texts import BASKETS, brand_baskets
 
 
@@ -83,7 +83,7 @@ def numbers_of_ragged_csv(spark, d):
     return readers.read_numbers(spark, path)
 
 
-@query("SELECT * FROM (VALUES (1, 'pen', 2.5::DOUBLE), (2, 'cup', NULL), (3, NULL, 4.0)) t(id, thing, price)")
+@example("SELECT * FROM (VALUES (1, 'pen', 2.5::DOUBLE), (2, 'cup', NULL), (3, NULL, 4.0)) t(id, thing, price)")
 def table_of_columns(spark, d):
     """A table from a mapping of names to values."""
     return readers.from_columns(spark, {"id": [1, 2, 3], "thing": ["pen", "cup", None], "price": [2.5, None, 4.0]}, "id int, thing string, price double")

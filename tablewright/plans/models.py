@@ -7,12 +7,12 @@ import uuid
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from ..operators import cluster, metrics, models, select, split, timeseries
+from ..operators import cluster, metrics, models, neighbours, select, split, timeseries
 from ..session import shared_dir
 from ..sources import readers, sinks
 from ..sources.readers import read_table
 from .profiles import rounded
-from .registry import query
+from .registry import example, query
 
 
 def scored(spark, d):
@@ -152,7 +152,7 @@ KNN = f"n AS (SELECT q.vec_id AS query, q.label AS actual, t.label, row_number()
 
 def found(spark, d, k):
     df = read_table(spark, d, "embeddings")
-    return models.neighbours(df.where("vec_id % 50 = 0"), df.where("vec_id % 50 <> 0"), "vec_id", "embedding", "label", k)
+    return neighbours.neighbours(df.where("vec_id % 50 = 0"), df.where("vec_id % 50 <> 0"), "vec_id", "embedding", "label", k)
 
 
 @query(f"WITH {KNN} SELECT query, label AS predicted FROM (SELECT query, label, count(*) AS n FROM n WHERE place <= 5 GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY query ORDER BY n DESC, label) = 1")
@@ -350,7 +350,7 @@ def decision_mesh(spark, d):
     return model.transform(cluster.assembled(axis("symbols").crossJoin(axis("capitals")), ["symbols", "capitals"])).select("symbols", "capitals", "prediction")
 
 
-@query()
+@example()
 def generated_regression(spark, d):
     """Generated rows and their F statistics."""
     return select.f_regression(readers.make_regression(spark, 1000, 4, 1.0, informative=2), ["x0", "x1", "x2", "x3"], "y").drop("df2")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import prep, split
 from ..sources.readers import read_table
 from .profiles import HOLED, holed_customer, rounded
-from .registry import query
+from .registry import example, query
 
 
 @query(f"SELECT * FROM ({HOLED}) WHERE c_acctbal IS NOT NULL AND c_mktsegment IS NOT NULL AND c_nationkey IS NOT NULL")
@@ -119,7 +119,7 @@ def one_hot_drop_first(spark, d):
 FRUIT = ["apple", "banana", "orange", "apple", "grape"]
 
 
-@query("SELECT ['apple', 'banana', 'grape', 'orange'] AS vocabulary, [[1, 0, 0, 0], [0, 1, 0, 0], [0, 0, 0, 1], [1, 0, 0, 0], [0, 0, 1, 0]]::INT[][] AS rows")
+@example("SELECT ['apple', 'banana', 'grape', 'orange'] AS vocabulary, [[1, 0, 0, 0], [0, 1, 0, 0], [0, 0, 0, 1], [1, 0, 0, 0], [0, 0, 1, 0]]::INT[][] AS rows")
 def one_hot_vocabulary(spark, d):
     """One-hot rows over a sorted vocabulary."""
     df = spark.createDataFrame([(FRUIT,)], "words array<string>").withColumn("vocabulary", F.array_sort(F.array_distinct("words")))

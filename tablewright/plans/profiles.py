@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import profile
 from ..operators.quantiles import quantiles
 from ..sources.readers import read_table
-from .registry import query
+from .registry import example, query
 
 
 def rounded(df, digits, *columns):
@@ -103,7 +103,7 @@ def mode_with_count(spark, d):
 CENTRAL = [2.1, 3.4, 5.6, 4.5, 3.4, 6.7, 8.9, 4.5, 2.1, 4.5]
 
 
-@query("SELECT round(4.57, 6)::DOUBLE AS mean, 4.5::DOUBLE AS median, 4.5::DOUBLE AS mode")
+@example("SELECT round(4.57, 6)::DOUBLE AS mean, 4.5::DOUBLE AS median, 4.5::DOUBLE AS mode")
 def central_tendency(spark, d):
     """Mean, median and mode of given numbers (A1)."""
     df = spark.createDataFrame([(x,) for x in CENTRAL], "x double")
@@ -122,7 +122,7 @@ def groupby_nonnull_count(spark, d):
     return profile.group_present(holed_customer(spark, d), ["c_mktsegment", "c_nationkey"], ["c_acctbal"])
 
 
-@query("SELECT 21::BIGINT AS total, [5, 7, 9]::BIGINT[] AS columns, [6, 15]::BIGINT[] AS rows")
+@example("SELECT 21::BIGINT AS total, [5, 7, 9]::BIGINT[] AS columns, [6, 15]::BIGINT[] AS rows")
 def matrix_sums(spark, d):
     """Sums of a matrix, of its columns and rows."""
     df = spark.createDataFrame([(0, [1, 2, 3]), (1, [4, 5, 6])], "i int, x array<bigint>")

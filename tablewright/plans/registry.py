@@ -11,10 +11,12 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ("basics", "profiles", "preparation", "arrays", "texts", "files", "models")
+MODULES = ("basics", "profiles", "preparation", "arrays", "texts", "files", "models", "learners")
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
+#: Plans over literal rows: they show an operation, and tests hold them against their twins.
+_EXAMPLES: dict[str, tuple[Query, str | None]] = {}
 
 
 def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
@@ -30,6 +32,16 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return add
 
 
+def example(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a plan that reads no table, so that it is no query."""
+
+    def add(function: Query) -> Query:
+        _EXAMPLES[function.__name__] = (function, sql)
+        return function
+
+    return add
+
+
 def _loaded() -> None:
     for module in MODULES:
         import_module(f"{__package__}.{module}")
@@ -43,3 +55,8 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     _loaded()
     return dict(_SQL)
+
+
+def examples() -> dict[str, tuple[Query, str | None]]:
+    _loaded()
+    return dict(_EXAMPLES)

@@ -8,7 +8,7 @@ from ..functions import arrays as A
 from ..operators import baskets, text
 from ..sources.readers import read_table
 from .profiles import rounded
-from .registry import query
+from .registry import example, query
 
 TOKENS = r"tok AS (SELECT doc_id, t AS term FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+')) AS t FROM documents) WHERE length(t) >= 2)"
 STOP = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
@@ -117,7 +117,7 @@ def baskets_of_orders(spark, d):
     return brand_baskets(spark, d)
 
 
-@query("SELECT * FROM (VALUES (1, ['ale', 'bread']), (2, ['ale']), (3, [])) t(id, items)")
+@example("SELECT * FROM (VALUES (1, ['ale', 'bread']), (2, ['ale']), (3, [])) t(id, items)")
 def baskets_from_wide(spark, d):
     """Baskets from a wide table with blanks and repeats (Q1)."""
     df = spark.createDataFrame([(1, "bread", "ale", "bread"), (2, None, "ale", None), (3, None, None, None)], "id int, a string, b string, c string")
@@ -151,20 +151,20 @@ def meals(spark):
     return baskets.itemsets(spark.createDataFrame([(m,) for m in MEALS], "items array<string>"), 0.6)
 
 
-@query(f"WITH {SETS} SELECT items, freq, round(support, 6) AS support, length FROM s")
+@example(f"WITH {SETS} SELECT items, freq, round(support, 6) AS support, length FROM s")
 def itemsets_golden(spark, d):
     """Itemsets of five baskets (Q4)."""
     return rounded(meals(spark), 6, "support")
 
 
-@query(f"WITH {SETS} SELECT items, round(support, 6) AS support FROM s WHERE length = 2 AND support >= 0.8")
+@example(f"WITH {SETS} SELECT items, round(support, 6) AS support FROM s WHERE length = 2 AND support >= 0.8")
 def itemsets_of_two(spark, d):
     """Itemsets by size and support, and one by its items in any order."""
     sets = meals(spark).where("length = 2 AND support >= 0.8")
     return rounded(sets.where(F.array_sort("items") == F.array_sort(F.array(F.lit("Kidney Beans"), F.lit("Eggs")))).select("items", "support"), 6, "support")
 
 
-@query(f"""WITH {SETS}
+@example(f"""WITH {SETS}
 , split AS (SELECT s.items, s.support, a.items AS antecedent, a.support AS sa, list_sort(list_filter(s.items, lambda x: NOT list_contains(a.items, x))) AS consequent FROM s JOIN s a ON a.length < s.length AND list_has_all(s.items, a.items))
 SELECT antecedent, consequent, round(split.support, 6) AS support, round(split.support / sa, 6) AS confidence, round(split.support / sa / c.support, 6) AS lift FROM split JOIN s c ON c.items = consequent""")
 def rules_golden(spark, d):

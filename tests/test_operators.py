@@ -255,6 +255,18 @@ def test_places_of_every_type(spark):
         split.with_place(df.withColumn("x", F.array("n")), ["x"], 20)
 
 
+@pytest.mark.parametrize("size", [4096, 7])
+def test_itemsets_by_difference_sets(spark, size):
+    rng = random.Random(25)
+    rows = [(f"b{k}", rng.sample("abcdefgh", rng.randint(0, 7))) for k in range(90)] + [("none", None), ("null", [None, "a", "a"])]
+    df = spark.createDataFrame(rows, "basket string, items array<string>")
+    whole = baskets.itemsets(df.select(F.coalesce(F.array_distinct(F.array_compact("items")), F.array().cast("array<string>")).alias("items")), 0.1)
+    found = baskets.vertical_itemsets(df, 0.1, size)
+    key = lambda out: sorted((tuple(r["items"]), r.freq) for r in out.collect())
+    assert key(found) == key(whole) and max(r["length"] for r in found.collect()) >= 4
+    assert baskets.vertical_itemsets(df.limit(0), 0.1).count() == 0
+
+
 def test_itemsets_level_by_level(spark):
     rng = random.Random(23)
     rows = [(k, rng.sample("abcdefgh", rng.randint(0, 6))) for k in range(80)]

@@ -20,6 +20,12 @@ def test_twin(spark, duck, name):
     same(registry.queries()[name](spark, DIRECTORY), duck, registry.oracle_sql()[name])
 
 
+@pytest.mark.parametrize("name", sorted(k for k, (_, sql) in registry.examples().items() if sql))
+def test_example(spark, duck, name):
+    made, sql = registry.examples()[name]
+    same(made(spark, DIRECTORY), duck, sql)
+
+
 #: Those whose rows get places in an order.
 ORDERED = ("next_value_target", "sliding_window", "pct_change", "sequential_split")
 
@@ -47,17 +53,27 @@ SHAPES = {
     "saved_model": (1, {"doc_id", "prediction", "probability"}),
     "decision_mesh": (121, {"symbols", "capitals", "prediction"}),
     "generated_regression": (4, {"feature", "f"}),
+    "boosted_classes": (1, {"log_loss", "accuracy", "majority_log_loss"}),
+    "recurrent_forecast": (1, {"mse", "rmse", "mae", "last_value_mse"}),
+    "kernel_machines": (2, {"kernel", "gap", "accuracy", "majority", "brier"}),
 }
 
 
 @pytest.mark.parametrize("name", sorted(SHAPES))
 def test_shape(spark, name):
     rows, columns = SHAPES[name]
-    df = registry.queries()[name](spark, DIRECTORY)
+    made = registry.queries().get(name) or registry.examples()[name][0]
+    df = made(spark, DIRECTORY)
     assert set(df.columns) == columns
     found = df.collect()
     assert len(found) == rows
-    if "accuracy" in columns:
+    if name == "boosted_classes":
+        assert found[0].log_loss < 0.8 * found[0].majority_log_loss
+    elif name == "recurrent_forecast":
+        assert found[0].mse < 0.7 * found[0].last_value_mse
+    elif name == "kernel_machines":
+        assert all(r.gap <= 1e-3 and r.accuracy > r.majority for r in found)
+    elif "accuracy" in columns:
         assert all(r["accuracy"] > 0.6 for r in found)
 
 
