@@ -80,11 +80,15 @@ def similar_documents(spark, d):
     return similarity.similar_documents(counts, weights, "doc_id", 0.8)
 
 
+def sets_of(k):
+    """SQL of the sets of k items; an order has seven lines at most."""
+    joins = "".join(f" JOIN b b{i} ON b{i}.l_orderkey = b1.l_orderkey AND b{i - 1}.item < b{i}.item" for i in range(2, k + 1))
+    return f"SELECT [{', '.join(f'b{i}.item' for i in range(1, k + 1))}] AS items, count(*) AS freq FROM b b1{joins} GROUP BY ALL"
+
+
 ANY_RULES = f"""
 WITH {BASKETS}, least AS (SELECT ceil(round(n * 0.002, 9)) AS least FROM n)
-, three AS (SELECT x.item AS i, y.item AS j, z.item AS k, count(*) AS freq FROM b x JOIN b y USING (l_orderkey) JOIN b z USING (l_orderkey) WHERE x.item < y.item AND y.item < z.item GROUP BY ALL)
-, four AS (SELECT [x.item, y.item, z.item, u.item] AS items, count(*) AS freq FROM b x JOIN b y USING (l_orderkey) JOIN b z USING (l_orderkey) JOIN b u USING (l_orderkey) WHERE x.item < y.item AND y.item < z.item AND z.item < u.item GROUP BY ALL)
-, sets AS (SELECT items, freq FROM (SELECT [item] AS items, freq FROM one UNION ALL SELECT [i, j], freq FROM two UNION ALL SELECT [i, j, k], freq FROM three UNION ALL SELECT items, freq FROM four), least WHERE freq >= least)
+, sets AS (SELECT items, freq FROM ({" UNION ALL ".join(map(sets_of, range(1, 8)))}), least WHERE freq >= least)
 , parts AS (SELECT items, freq, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS antecedent, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 0) AS consequent FROM (SELECT *, unnest(range(1, (1 << len(items)) - 1)) AS mask FROM sets WHERE len(items) > 1))
 SELECT antecedent, consequent, round(p.freq / n::DOUBLE, 9) AS support, round((p.freq / n::DOUBLE) / (a.freq / n::DOUBLE), 9) AS confidence, round((p.freq / n::DOUBLE) / (a.freq / n::DOUBLE) / (c.freq / n::DOUBLE), 6) AS lift
 FROM parts p JOIN sets a ON a.items = antecedent JOIN sets c ON c.items = consequent, n WHERE len(consequent) = 2 OR (p.freq / n::DOUBLE) / (a.freq / n::DOUBLE) >= 0.15"""
