@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import named, staged
 from .quality_rules import CLASSES, text_counts
 
 THRESHOLD = 0.7
@@ -115,7 +115,7 @@ def good_documents(documents: DataFrame, labels: DataFrame, max_labelled: int =
     ranking = learn(documents, labels, max_labelled)
     # The document's own columns go along as one, whatever their names. The row number keeps the filter above the
     # features, which it would otherwise compute many times over.
-    own = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__own")
+    own = F.struct(*[named(c) for c in documents.columns]).alias("__own")
     df = with_features(documents.select(own, F.col("text").cast("string").alias("text")), ["__own"])
     df = df.withColumn("__row", F.monotonically_increasing_id())
     return df.where((F.col("__row") >= 0) & (ranking.score(F.col("__features")) >= THRESHOLD)).select("__own.*")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, score double, token string, key string, first long, a long, b long, k int, n int, sig long, at string, plain string, id long, weight double, tokens int, topic string, h string, `a.b` string, __id long, __tokens long, __places int, __items string, __bucket int, __own string, __row int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, score double, token string, key string, first long, a long, b long, k int, n int, sig long, at string, plain string, id long, weight double, tokens int, topic string, h string, `a.b` string, __id long, __tokens long, __places int, __items string, __bucket int, __own string, __row int, `b``c` string"
 
 
 def odd_rows():
@@ -22,7 +22,7 @@ def odd_rows():
         (9, "same same same same same same same same same same same same", "en", "s1"),
         (10, "Ünïcödé     words\x00 and\x1f controls 'tis <|endoftext|> it's", "en", "s1"),
     ]
-    extra = (7, 0.5, "t", "k", 1, 2, 3, 4, 5, 6, "at", "p", 8, 0.1, 9, "topic", "h", "dot", 1, 2, 3, "i", 4, "own", 5)
+    extra = (7, 0.5, "t", "k", 1, 2, 3, 4, 5, 6, "at", "p", 8, 0.1, 9, "topic", "h", "dot", 1, 2, 3, "i", 4, "own", 5, "tick")
     return [(i, t, lang, source, len(t or ""), *extra) for i, t, lang, source in texts]
 
 
