@@ -50,9 +50,9 @@ def looked_up(key: Column, table: dict[str, float], default: float) -> Column:
     return F.coalesce(F.try_element_at(pairs, key), F.lit(default))
 
 
-def running_balance(amounts: Column) -> Column:
-    """The balance after an array of amounts in order; a withdrawal that the balance doesn't cover is refused."""
-    return F.aggregate(amounts, F.lit(0.0), lambda b, x: F.when(b + x >= 0, b + x).otherwise(b))
+def running_balance(amounts: Column, start: Column | None = None) -> Column:
+    """The balance after an array of amounts in order, from start or 0; a withdrawal that the balance doesn't cover is refused."""
+    return F.aggregate(amounts, F.lit(0.0) if start is None else start, lambda b, x: F.when(b + x >= 0, b + x).otherwise(b))
 
 
 def half_even(x: Column, digits: int) -> Column:

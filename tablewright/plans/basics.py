@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalars as S
-from ..operators import profile, timeseries
+from ..operators import balance, profile, timeseries
 from ..sources.readers import read_table
 from .registry import example, query
 
@@ -110,10 +110,9 @@ WITH RECURSIVE e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORD
   UNION ALL SELECT e.user_id, e.k, CASE WHEN b.balance + e.amount >= 0 THEN b.balance + e.amount ELSE b.balance END FROM b JOIN e ON e.user_id = b.user_id AND e.k = b.k + 1)
 SELECT user_id, count(*)::BIGINT AS n_moves, round(arg_max(balance, k), 4) AS balance FROM b GROUP BY user_id""")
 def running_balance(spark, d):
-    """Deposits and withdrawals in order, those that aren't covered refused (P18). The moves of one account are one array."""
-    moves = read_table(spark, d, "events").select("user_id", F.struct("ts", "event_id", F.when(F.col("event_id") % 2 == 0, F.col("value")).otherwise(-F.col("value")).alias("amount")).alias("m"))
-    ordered = moves.groupBy("user_id").agg(F.sort_array(F.collect_list("m")).alias("m"))
-    return ordered.select("user_id", F.size("m").cast("long").alias("n_moves"), F.round(S.running_balance(F.transform("m", lambda x: x["amount"])), 4).alias("balance"))
+    """Deposits and withdrawals in order, those that aren't covered refused."""
+    moves = read_table(spark, d, "events").select("user_id", "ts", "event_id", F.when(F.col("event_id") % 2 == 0, F.col("value")).otherwise(-F.col("value")).alias("amount"))
+    return balance.running_balances(moves, "user_id", ["ts", "event_id"], "amount").withColumn("balance", F.round("balance", 4))
 
 
 @query("""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import arrays as A
 from tablewright.functions import scalars as S
-from tablewright.operators import baskets, cluster, metrics, models, prep, profile, select, split, text, timeseries
+from tablewright.operators import balance, baskets, cluster, metrics, models, prep, profile, select, split, text, timeseries
 from tablewright.operators import quantiles as Q
 from tablewright.sources import readers, sinks
 
@@ -190,10 +190,16 @@ def test_confusion_sums_to_rows(spark):
     assert len(cells) == 9 and sum(c.n for c in cells) == 3
 
 
-def test_f_tail():
-    assert math.isclose(select.f_tail(4.0, 1, 10), 0.07338803, abs_tol=1e-7)
-    assert math.isclose(select.f_tail(1.0, 1, 1), 0.5, abs_tol=1e-12)
-    assert select.f_tail(0.0, 1, 5) == 1.0
+def test_f_tail(spark):
+    inf, nan = float("inf"), float("nan")
+    cases = [(4.0, 1, 10, 0.07338803477074), (0.0, 1, 5, 1.0), (inf, 1, 5, 0.0), (None, 1, 5, None), (nan, 1, 5, None), (3.0, 1, 0, None)]
+    # Closed forms: degrees 1 and 1, and 2 above.
+    cases += [(f, 1, 1, 1 - 2 / math.pi * math.atan(math.sqrt(f))) for f in (0.01, 1.0, 20.0)]
+    cases += [(f, 2, n, (1 + 2 * f / n) ** (-n / 2)) for f in (0.01, 0.5, 3.0, 7.5) for n in (1, 2, 3, 40, 1_000_000)]
+    df = spark.createDataFrame([(k, *c[:3]) for k, c in enumerate(cases)], "k int, f double, d1 int, d2 int")
+    found = {r.k: r.p for r in df.select("k", select.f_tail(F.col("f"), F.col("d1"), F.col("d2")).alias("p")).collect()}
+    for k, (*_, p) in enumerate(cases):
+        assert found[k] is None if p is None else math.isclose(found[k], p, abs_tol=1e-10), cases[k]
 
 
 def test_elbow_never_rises(spark):
@@ -304,3 +310,18 @@ def test_components_are_those_of_the_covariance(spark):
     centred = x - x.mean(axis=0)
     _, _, v = np.linalg.svd(centred, full_matrices=False)
     assert np.allclose(np.sort(np.abs(found), axis=0), np.sort(np.abs(centred @ v[:2].T), axis=0), atol=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(10,2)"])
+def test_running_balances_in_chunks(spark, kind):
+    random.seed(5)
+    # One account holds half of the moves; one has a move without an amount, and a move has no account.
+    rows = [(1 if random.random() < 0.5 else random.randint(2, 6), k, float(random.randint(-50, 45))) for k in range(200)] + [(7, 1, None), (7, 2, 5.0), (7, 3, -6.0), (None, 1, 9.0)]
+    want = {}
+    for u, _, a in rows[:-1]:
+        b, n = want.get(u, (0, 0))
+        want[u] = (b + (a or 0) if b + (a or 0) >= 0 else b, n + 1)
+    df = spark.createDataFrame(rows, "u int, k int, a double").withColumn("a", F.col("a").cast(kind))
+    for options in ({}, {"chunk": 3, "rows_a_range": 20}):
+        assert {r.u: (float(r.balance), r.n_moves) for r in balance.running_balances(df, "u", ["k"], "a", **options).collect()} == want
+    assert balance.running_balances(df.limit(0), "u", ["k"], "a").count() == 0

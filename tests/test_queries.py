@@ -2,7 +2,7 @@
 
 import pytest
 
-from tablewright.operators import split
+from tablewright.operators import balance, split
 from tablewright.plans import registry
 
 from .oracle import connected, same
@@ -36,6 +36,12 @@ def test_ordered_twin_in_many_buckets(spark, duck, name, monkeypatch):
     same(registry.queries()[name](spark, DIRECTORY), duck, registry.oracle_sql()[name])
 
 
+def test_running_balance_in_many_chunks(spark, duck, monkeypatch):
+    monkeypatch.setattr(balance, "CHUNK", 3)
+    monkeypatch.setattr(balance, "ROWS_A_RANGE", 100)
+    same(registry.queries()["running_balance"](spark, DIRECTORY), duck, registry.oracle_sql()["running_balance"])
+
+
 SHAPES = {
     "random_numbers": (100, {"id", "uniform", "normal", "whole"}),
     "f_regression_p": (4, {"feature", "f", "p"}),
