@@ -73,3 +73,33 @@ def matmul(a: DataFrame, b: DataFrame) -> DataFrame:
     """Product of matrices in long form: an equi-join on the inner index and a sum, so no side need fit anywhere."""
     left, right = a.select("i", F.col("j").alias("k"), F.col("v").alias("x")), b.select(F.col("i").alias("k"), "j", F.col("v").alias("y"))
     return left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("v"))
+
+
+def strips(matrix: DataFrame, size: int) -> DataFrame:
+    """(i, block, s): the cells of a row whose j is in a block of size, as an array; null where there is none, repeated cells added up."""
+    at = F.pmod("j", F.lit(size))
+    cells = F.array(*[F.sum(F.when(at == k, F.col("v").cast("double"))) for k in range(size)])
+    return matrix.where("i IS NOT NULL AND j IS NOT NULL AND v IS NOT NULL").groupBy("i", F.floor(F.col("j") / size).alias("block")).agg(cells.alias("s"))
+
+
+def block_matmul(a: DataFrame, b: DataFrame, size: int = 16, copies: int = 8) -> DataFrame:
+    """The product of matrices in long form, as matmul() gives it: (i, j, v) of the cells to which any pair of cells adds.
+
+    Cells without a value or an index are absent, and repeated ones are added up. Rows of a are cut into strips of size
+    cells, b into squares of size x size; a strip meets the squares of its inner block, and the sums of all products come
+    from the map side in strips too. So the join has a row where the plain form has up to size * size cells. Inner blocks
+    may be few, each with a whole side's rows: squares are copied `copies` times and strips dealt out to the copies.
+    """
+    left = strips(a, size).select("i", F.col("block").alias("inner"), F.col("s").alias("x"), F.pmod(F.xxhash64("i"), F.lit(copies)).cast("int").alias("copy"))
+    # A square holds at most size strips.
+    rows = strips(b, size).select(F.floor(F.col("i") / size).alias("inner"), F.col("block").alias("across"), F.pmod("i", F.lit(size)).cast("int").alias("k"), "s")
+    squares = rows.groupBy("inner", "across").agg(F.collect_list(F.struct("k", "s")).alias("square"))
+    right = squares.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    nothing = F.array_repeat(F.lit(None).cast("double"), size)
+    # Null and a number add up to the number; a null product adds nothing.
+    plus = lambda s, y: F.coalesce(s + y, s, y)
+    product = F.aggregate("square", nothing, lambda s, r: F.zip_with(s, r["s"], lambda t, y: plus(t, F.get(F.col("x"), r["k"]) * y)))
+    sums = F.array(*[F.sum(F.get("p", F.lit(k))) for k in range(size)])
+    met = left.join(right, ["inner", "copy"]).select("i", "across", product.alias("p")).groupBy("i", "across").agg(sums.alias("s"))
+    cells = met.select("i", "across", F.posexplode("s").alias("k", "v")).where("v IS NOT NULL")
+    return cells.select("i", (F.col("across") * size + F.col("k")).alias("j"), "v")

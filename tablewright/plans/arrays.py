@@ -76,6 +76,15 @@ def matmul(spark, d):
     return rounded(A.matmul(labels, vectors), 5, "v")
 
 
+@query("""
+WITH a AS (SELECT vec_id AS i, unnest(range(64))::BIGINT AS j, unnest(embedding)::DOUBLE AS v FROM embeddings)
+SELECT x.j AS i, y.j AS j, round(sum(x.v * y.v), 5) AS v FROM a x JOIN a y USING (i) GROUP BY 1, 2""")
+def gram_matrix(spark, d):
+    """Products of all pairs of columns (X9): the transposed vectors times the vectors, in blocks."""
+    vectors = A.to_long(read_table(spark, d, "embeddings"), "vec_id", "embedding").withColumn("j", F.col("j").cast("long"))
+    return rounded(A.block_matmul(A.transpose(vectors), vectors), 5, "v")
+
+
 @example("SELECT * FROM (VALUES (0, 0, 76.0), (0, 1, 82.0), (1, 0, 184.0), (1, 1, 199.0), (2, 0, 292.0), (2, 1, 316.0)) t(i, j, v)")
 def matmul_literal(spark, d):
     """A small product with known cells."""

@@ -11,7 +11,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ("basics", "profiles", "preparation", "arrays", "texts", "files", "models", "learners")
+MODULES = ("basics", "profiles", "preparation", "arrays", "texts", "files", "models", "learners", "streams")
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}

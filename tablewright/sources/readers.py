@@ -26,6 +26,12 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """read_table()'s rows as a stream."""
+    # A pattern, as a stream takes a plain path for a folder while a table may be one file.
+    return spark.readStream.schema(read_table(spark, directory, name).schema).parquet(f"{directory}/{name}.parque[t]")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, header: bool = True, sep: str = ",", null_value: str | None = None, names: Sequence[str] | None = None) -> DataFrame:
     """Delimited text with a schema, or with types inferred by a second read. Blanks are null, NaN becomes null.
 

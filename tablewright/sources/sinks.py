@@ -1,9 +1,9 @@
-"""Sinks: arrays, encoder tables and fitted pipelines."""
+"""Sinks: arrays, encoder tables and fitted pipelines, and what reads them again."""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def save_array(array: DataFrame, path: str) -> None:
@@ -23,3 +23,7 @@ def load_model(path: str) -> PipelineModel:
 def save_encoders(encoders: DataFrame, path: str) -> None:
     """Writes the table (column, label, code) of label encoders."""
     encoders.write.mode("overwrite").parquet(path)
+
+
+def load_encoders(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

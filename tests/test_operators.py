@@ -325,3 +325,15 @@ def test_running_balances_in_chunks(spark, kind):
     for options in ({}, {"chunk": 3, "rows_a_range": 20}):
         assert {r.u: (float(r.balance), r.n_moves) for r in balance.running_balances(df, "u", ["k"], "a", **options).collect()} == want
     assert balance.running_balances(df.limit(0), "u", ["k"], "a").count() == 0
+
+
+@pytest.mark.parametrize("size, copies", [(1, 1), (3, 2), (16, 8)])
+def test_block_matmul(spark, size, copies):
+    random.seed(1)
+    # Indices below 0, repeated cells, zeros, cells without a value or an index.
+    cells = lambda n, m: [(random.randint(-n, n), random.randint(-m, m), random.choice([None, 1.5, -2.0, 0.0])) for _ in range(120)] + [(None, 1, 1.0), (1, None, 1.0)]
+    a, b = (spark.createDataFrame(cells(n, m), "i int, j int, v double") for n, m in ((9, 14), (14, 9)))
+    plain = {(r.i, r.j): r.v for r in A.matmul(a.dropna(), b.dropna()).collect()}
+    assert len(plain) > 100
+    assert {(r.i, r.j): r.v for r in A.block_matmul(a, b, size, copies).collect()} == plain
+    assert A.block_matmul(a.limit(0), b, size, copies).count() == 0
