@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import prep
 from ..session import shared_dir
-from ..sources import readers, sinks
+from ..sources import readers, sinks, workbooks
 from ..sources.readers import read_table
 from .registry import example, query
 from .texts import BASKETS, brand_baskets
@@ -83,6 +83,14 @@ def numbers_of_ragged_csv(spark, d):
     return readers.read_numbers(spark, path)
 
 
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def rows_of_workbooks(spark, d):
+    """Workbooks of up to 10,000 suppliers each, and their lines read again."""
+    df = read_table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal").withColumn("book", F.floor(F.col("s_suppkey") / 10_000))
+    made = workbooks.workbooks(df, "book", ["s_suppkey", "s_name", "s_acctbal"])
+    return workbooks.table(workbooks.cells(made), {"s_suppkey": "long", "s_name": "string", "s_acctbal": "double"}).drop("path", "sheet", "row")
+
+
 @example("SELECT * FROM (VALUES (1, 'pen', 2.5::DOUBLE), (2, 'cup', NULL), (3, NULL, 4.0)) t(id, thing, price)")
 def table_of_columns(spark, d):
     """A table from a mapping of names to values."""
