@@ -7,11 +7,12 @@ turns into it. Whether the earlier line goes itself doesn't matter.
 1. Plain forms are grouped by a 128-bit hash, with the first place of each; a form's later places go.
 2. Of two forms one edit apart, the first or the last half of the shorter is unchanged; only forms that share such a
    half with another are carried on, with their text.
-3. The same again in more parts tells in which part of a form the edit can be. Each character of that part is deleted in
+3. The same again in more parts tells in which part of a form the edit can be, and again in that part while it is long,
+   so that a line of any length has few characters left. Each character of that part is deleted in
    turn, which gives the variants, as hashed keys with the deleted place. Equal variants with the same place differ by a
    replaced character, and the earliest form of such a key stands for all others, so a group of n forms gives n rows,
    never its pairs. A variant that equals a whole form differs from it by an inserted character.
-4. The edit distance of a form and the earliest one found is verified on the forms themselves.
+4. That a form and the earliest one found are one edit apart is verified on the forms themselves, at the place found.
 
 Forms that many lines share are reduced on the map side; joins on hot forms are Spark's to split.
 """
@@ -26,6 +27,8 @@ from .common import Temporary, bucket_of, buckets_of, let, packed, unpacked
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
 LINES_A_DOC = 2**31
 SEGMENTS = 12
+#: Characters of the longest part whose characters are deleted in turn; longer parts are cut further.
+FEW = 64
 
 
 def plain(line: Column) -> Column:
@@ -90,21 +93,36 @@ def superseded(chosen: DataFrame, temporary: Temporary) -> DataFrame:
     """(a, b) of the forms of chosen that are one edit from one that is earlier. A form's first place stands for it.
 
     As with halves, but in SEGMENTS parts: of two forms one edit apart, all but one part of the shorter is unchanged.
-    Where a form shares all but one part with another, the characters of that part are deleted in turn.
+    Where a form shares all but one part with another, the characters of that part are deleted in turn; a part of more
+    than FEW characters is cut into SEGMENTS again before, as often as it takes. So a line of n characters is read about
+    log(n) times, not n times.
     """
     n = F.length("plain")
     start = lambda m, s: F.floor(s * m / SEGMENTS).cast("int")
     rest_of = lambda m, s: F.xxhash64(F.lit(2), m, s, F.substring("plain", F.lit(1), start(m, s)), F.substring("plain", n - m + start(m, s + 1) + 1, n))
     parts = F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda s: F.array(*[F.struct(m.alias("m"), s.alias("s"), rest_of(m, s).alias("key")) for m in (n, n - 1)]))
     keys = chosen.select("first", F.explode(F.flatten(parts)).alias("p")).select("first", "p.*")
-    several = keys.groupBy("key").agg(F.min("first").alias("x"), F.max("first").alias("y")).where("x <> y").select("key")
-    matched = keys.join(several, "key", "left_semi").select("first", "m", "s").distinct().join(chosen.select("first", "plain"), "first")
-    matched = temporary.staged(matched.withColumn("n", n))
+    texts_of = chosen.select("first", "plain")
+
+    def shared(keys: DataFrame, *at: str) -> DataFrame:
+        several = keys.groupBy("key").agg(F.min("first").alias("x"), F.max("first").alias("y")).where("x <> y").select("key")
+        return keys.join(several, "key", "left_semi").select("first", *at).distinct().join(texts_of, "first")
+
+    # lo and hi: where the part begins and ends in the shorter form of a pair, whose length is m.
+    m, lo, hi = F.col("m"), F.col("lo"), F.col("hi")
+    matched = shared(keys, "m", "s").select("first", "m", start(m, F.col("s")).alias("lo"), start(m, F.col("s") + 1).alias("hi"), n.alias("n"), "plain")
+    matched = temporary.staged(matched)
+    while not matched.where(hi - lo > FEW).isEmpty():
+        cut = lambda s: lo + start(hi - lo, s)
+        outside = lambda x, y: F.xxhash64(F.lit(3), m, x, y, F.substring("plain", F.lit(1), x), F.substring("plain", F.col("n") - m + y + 1, F.col("n")))
+        finer = F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda s: F.struct(cut(s).alias("lo"), cut(s + 1).alias("hi"), outside(cut(s), cut(s + 1)).alias("key")))
+        keys = matched.where(hi - lo > FEW).select("first", "m", F.explode(finer).alias("p")).select("first", "m", "p.*")
+        found = shared(keys, "m", "lo", "hi").select("first", "m", "lo", "hi", n.alias("n"), "plain")
+        matched = temporary.staged(matched.where(hi - lo <= FEW).unionByName(found))
 
     without = lambda i: F.concat(F.substring("plain", F.lit(1), i - 1), F.substring("plain", i + 1, F.col("n")))
-    m, s = F.col("m"), F.col("s")
-    last = start(m, s + 1) + F.col("n") - m
-    places = F.when(last > start(m, s), F.sequence(start(m, s) + 1, last))
+    last = hi + F.col("n") - m
+    places = F.when(last > lo, F.sequence(lo + 1, last))
     deleted = F.transform(places, lambda i: F.struct(i.alias("i"), F.xxhash64(without(i)).alias("v")))
     variants = temporary.staged(matched.select("first", "n", "m", F.explode(deleted).alias("d")).select("first", "n", "m", "d.i", "d.v").distinct())
     whole = matched.where("m = n").select("first", (F.col("n") + 1).alias("n"), F.xxhash64("plain").alias("v")).distinct()
@@ -112,14 +130,21 @@ def superseded(chosen: DataFrame, temporary: Temporary) -> DataFrame:
     # Replaced: the same variant with the same place; the earliest form of the key stands for it.
     same = variants.where("m = n").select("first", "v", "n", "i")
     replaced = same.groupBy("v", "n", "i").agg(F.min("first").alias("other"), F.max("first").alias("last")).where("other < last").drop("last")
-    by_replaced = same.join(replaced, ["v", "n", "i"]).where("first > other").select("first", "other")
-    # Inserted: a whole form that is the variant of a longer one. n is the longer one's length on both sides.
-    longer = variants.where("m < n").select("first", "v", "n").join(whole.select("v", "n", F.col("first").alias("short")), ["v", "n"]).select("first", "short")
-    pairs = longer.select(F.greatest("first", "short").alias("first"), F.least("first", "short").alias("other"))
-    pairs = by_replaced.union(pairs).where("first <> other").distinct()
+    by_replaced = same.join(replaced, ["v", "n", "i"]).where("first > other").select("first", "other", F.col("first").alias("long"), "i", F.lit(1).alias("over"))
+    # Inserted: a whole form that is the variant of a longer one, by any place of a run of one character. n is the longer one's length on both sides.
+    longer = variants.where("m < n").select("first", "v", "n", "i").join(whole.select("v", "n", F.col("first").alias("short")), ["v", "n"])
+    longer = longer.groupBy("first", "short").agg(F.min("i").alias("i"))
+    by_inserted = longer.select(F.greatest("first", "short").alias("first"), F.least("first", "short").alias("other"), F.col("first").alias("long"), "i", F.lit(0).alias("over"))
+    pairs = by_replaced.union(by_inserted).where("first <> other").distinct()
     texts = chosen.select("first", "a", "b", "plain")
-    verified = pairs.join(texts, "first").join(texts.select(F.col("first").alias("other"), F.col("plain").alias("against")), "other")
-    return temporary.staged(verified.where(F.levenshtein("plain", "against", 1) >= 0).select("a", "b").distinct())
+    both = pairs.join(texts, "first").join(texts.select(F.col("first").alias("other"), F.col("plain").alias("against")), "other")
+    # Without the longer form's place i (and, of a replaced character, the other's) they are equal: one look at each, where an edit distance of long lines would take the square of their length.
+    long = F.when(F.col("long") == F.col("first"), F.col("plain")).otherwise(F.col("against"))
+    short = F.when(F.col("long") == F.col("first"), F.col("against")).otherwise(F.col("plain"))
+    i, over = F.col("i"), F.col("over")
+    tail = lambda text, at: F.substring(text, at, F.length(text))
+    edit = (F.substring(long, F.lit(1), i - 1) == F.substring(short, F.lit(1), i - 1)) & (tail(long, i + 1) == tail(short, i + over)) & (F.length(long) == F.length(short) + 1 - over)
+    return temporary.staged(both.where(edit).select("a", "b").distinct())
 
 
 def dropped_lines(documents: DataFrame) -> DataFrame:

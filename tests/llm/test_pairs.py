@@ -4,12 +4,14 @@ import datetime
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright.llm import line_dedup as L
 from tablewright.llm import ngram_jaccard as N
 from tablewright.llm.line_dedup import deduplicated, line_dedup
 from tablewright.llm.source_mixing import UnmetTargets, rake, sample_documents, source_mixing
@@ -70,6 +72,30 @@ def test_line_dedup_finds_all_single_edits(spark):
     assert Counter(map(tuple, line_dedup(documents(spark, rows)).collect())) == expected
 
 
+def test_line_dedup_cuts_long_parts_again(spark, monkeypatch):
+    """With parts of at most one character, lines of up to 400 go through two cuts."""
+    monkeypatch.setattr(L, "FEW", 1)
+    rng = random.Random(2)
+    bases = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([1, 2, 11, 12, 13, 40, 150, 400]))) for _ in range(20)] + ["a" * 30, "ab" * 20]
+    pool = [x for b in bases for x in [b, *(edited(rng, b) for _ in range(5)), edited(rng, edited(rng, b))]]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 6)))) for i in range(80)]
+    expected = brute_lines(rows)
+    assert sum(n * x[3] for x, n in expected.items()) > 40
+    assert Counter(map(tuple, line_dedup(documents(spark, rows)).collect())) == expected
+
+
+def test_line_dedup_of_lines_of_a_megabyte(spark):
+    rng = random.Random(3)
+    line = "".join(rng.choices("abcdefgh é", k=1_000_000)).strip()
+    at = 777_777
+    other = "Z" + line[1:500_000] + "Z" + line[500_001:]
+    rows = [(1, line), (2, line[:at] + "Z" + line[at:]), (3, line[:at] + line[at + 1 :]), (4, line[:at] + "Y" + line[at + 1 :]), (5, line[:-1]), (6, other)]
+    assert [x[3] for x in sorted(brute_lines(rows))] == [0, 1, 1, 1, 1, 0]
+    began = time.perf_counter()
+    assert Counter(map(tuple, line_dedup(documents(spark, rows)).collect())) == brute_lines(rows)
+    assert time.perf_counter() - began < 120
+
+
 def test_line_dedup_odd(spark):
     rows = [r[:2] for r in odd_rows()]
     assert Counter(map(tuple, line_dedup(odd(spark)).collect())) == brute_lines(rows)
